@@ -210,13 +210,14 @@ def dq_parent_without_child(t):
     )
 
 
-_CHECKS = [
-    Check("fk_null", F.count_if(F.col("region_key").isNull())),
-    Check("null_residual", F.count_if(any_null("nation", "c_mktsegment", "migrated")), 5),
-    Check("negative_value", F.count_if(any_negative("o_totalprice", "margin"))),
-    Check("lookup_not_found", F.count_if(F.col("nation") == UNKNOWN), None),
-    Check("migrated_members", F.count_if(F.col("migrated") == "Sim"), None),
-]
+def _checks() -> list[Check]:
+    return [
+        Check("fk_null", F.count_if(F.col("region_key").isNull())),
+        Check("null_residual", F.count_if(any_null("nation", "c_mktsegment", "migrated")), 5),
+        Check("negative_value", F.count_if(any_negative("o_totalprice", "margin"))),
+        Check("lookup_not_found", F.count_if(F.col("nation") == UNKNOWN), None),
+        Check("migrated_members", F.count_if(F.col("migrated") == "Sim"), None),
+    ]
 
 
 @query(
@@ -240,7 +241,7 @@ def dq_report(t):
             "margin": F.when(price > 1000, price - 2000),
         }
     )
-    return run_checks(rows, _CHECKS)
+    return run_checks(rows, _checks())
 
 
 @query(

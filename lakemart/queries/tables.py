@@ -193,7 +193,7 @@ def schema_diff_query(t):
 
 _PART_TEXT = """(SELECT p_partkey, CASE WHEN p_size < 30 THEN CAST(p_size AS {text}) ELSE p_type END AS size,
     CASE WHEN p_size < 10 THEN CAST(p_partkey AS {text}) ELSE p_name END AS code, p_name AS name FROM part)"""
-_CONTRACT = StructType.fromDDL("p_partkey bigint, size int, code bigint, name string, origin string")
+_CONTRACT = "p_partkey bigint, size int, code bigint, name string, origin string"
 
 
 @query(
@@ -202,7 +202,7 @@ _CONTRACT = StructType.fromDDL("p_partkey bigint, size int, code bigint, name st
                CAST(NULL AS VARCHAR) AS origin FROM {_PART_TEXT.format(text='VARCHAR')}""",
 )
 def conform_query(t):
-    return conform(_part_as_text(t), _CONTRACT)
+    return conform(_part_as_text(t), StructType.fromDDL(_CONTRACT))
 
 
 @query(
@@ -213,7 +213,7 @@ def conform_query(t):
         UNION ALL SELECT 'code', count(*) FILTER (TRY_CAST(code AS BIGINT) IS NULL AND code IS NOT NULL) FROM p""",
 )
 def cast_failures_query(t):
-    return cast_failures(_part_as_text(t), _CONTRACT)
+    return cast_failures(_part_as_text(t), StructType.fromDDL(_CONTRACT))
 
 
 def _part_as_text(t):
