@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from functools import cache, reduce
@@ -71,7 +72,8 @@ def _multiple_class() -> str:
 def _fold_multiple(text: Column) -> Column:
     """Expand ligatures, fractions and the like; loops only over those present."""
     _, multiple = _ascii_folds()
-    table = F.create_map(*[F.lit(x) for kv in multiple.items() for x in kv])
+    # One literal instead of a node per entry keeps the plan small.
+    table = F.from_json(F.lit(json.dumps(multiple)), "map<string,string>")
     present = F.array_distinct(F.regexp_extract_all(text, F.lit(_multiple_class()), F.lit(0)))
     expanded = F.aggregate(
         present, text, lambda acc, ch: F.replace(acc, ch, F.coalesce(table[ch], ch))
@@ -148,5 +150,5 @@ def list_category(c: Column, none_value: str = "Colorless") -> Column:
 
 def symbol_count(c: Column, letters: str = "WUBRG") -> Column:
     """How many characters of ``letters`` the text holds, repeats counted."""
-    kept = F.length(F.regexp_replace(F.upper(c), f"[^{letters}]", ""))
+    kept = F.length(F.regexp_replace(F.upper(c), f"[^{letters}]+", ""))
     return F.when(c.isNull() | (c == NA), 0).otherwise(kept)

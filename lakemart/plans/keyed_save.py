@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakemart.operators.contract import check_contract, compare_fields, conform, field_types
 from lakemart.operators.keyed import (
@@ -68,9 +69,7 @@ def save_keyed(
 def _retyped(current: DataFrame, batch: DataFrame) -> DataFrame:
     """The stored rows with the batch's types where an allowed break changed them."""
     wanted = {f.name: f for f in batch.schema.fields}
-    schema = current.schema
-    schema.fields = [wanted.get(f.name, f) for f in schema.fields]
-    return conform(current, schema)
+    return conform(current, StructType([wanted.get(f.name, f) for f in current.schema.fields]))
 
 
 def _upsert_partitions(store, table, current, batch, keys, partition_by, key_decides_partition):

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 
-def scan_jsonl(spark: SparkSession, path, schema: StructType) -> DataFrame:
+def scan_jsonl(
+    spark: SparkSession, path, schema: StructType, spread: bool | None = None
+) -> DataFrame:
     """One object per line, gzip or plain; blank lines are skipped.
 
     A gzip file cannot be split, so its rows are spread over the cluster before
-    any further work.
+    any further work; ``spread`` says so for a folder of such files.
     """
     df = spark.read.schema(schema).json(path)
-    paths = [path] if isinstance(path, str) else path
-    return df.repartition() if any(p.endswith(".gz") for p in paths) else df
+    if spread is None:
+        spread = any(p.endswith(".gz") for p in ([path] if isinstance(path, str) else path))
+    return df.hint("rebalance") if spread else df
 
 
 def scan_pages(spark: SparkSession, path, item_schema: StructType, data: str = "data") -> DataFrame:
