@@ -55,6 +55,7 @@ def dimension(cards: DataFrame, sets: DataFrame, rulings: DataFrame, migrations:
             {"ID_CARTA_CANONICO": "ID_CARTA_CANONICO"},
             {"ID_CARTA_CANONICO": F.col("ID_CARTA")},
             ("FLG_ID_CARTA_MIGRADO", "Sim", "Nao"),
+            driver_unique=True,
         ),
     ]
     return build_dim(cards.select(*sc.DIM[:9]), lookups).select(*sc.DIM)

@@ -34,6 +34,7 @@ from lakemart.functions.values import (
     trimmed_blank_to_default,
 )
 from lakemart.operators.chain import attach_canonical, latest_edges, resolve_chain
+from lakemart.plans.lineage import cut_lineage
 
 
 def _moment(df: DataFrame, name: str) -> Column:
@@ -192,5 +193,6 @@ def with_canonical(batch: DataFrame, stored: DataFrame | None = None) -> DataFra
         events = events.union(stored.select(*needed))
     merges = events.filter(F.col("NME_ESTRATEGIA_MIGRACAO") == sc.STRATEGIES["merge"])
     edges = latest_edges(merges, "ID_CARTA_ANTIGO", "ID_CARTA_NOVO", ["DT_EXECUCAO", "ID_MIGRACAO"])
-    resolved = attach_canonical(batch, resolve_chain(edges), "ID_CARTA_ANTIGO", "ID_CARTA_CANONICO")
+    final = resolve_chain(cut_lineage(edges, "edges"))
+    resolved = attach_canonical(batch, final, "ID_CARTA_ANTIGO", "ID_CARTA_CANONICO")
     return resolved.select(*sc.MIGRATIONS)

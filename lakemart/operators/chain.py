@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators.skew import spread_join
+
 
 def latest_edges(events: DataFrame, old: str, new: str, order_by: list[str]) -> DataFrame:
     """One edge (old, new) per old id: the latest by ``order_by``, NULLs losing."""
@@ -24,6 +26,9 @@ def resolve_chain(edges: DataFrame, max_hops: int = 10) -> DataFrame:
     end, so 10 hops need 4 joins, and the whole stays one lazy distributed plan.
     Revisits need no check on the way: each id has one successor, so after the
     first repetition a walk only repeats, and its distinct prefix is the answer.
+
+    Many walks may meet in one id. Edges read from a table (see ``cut_lineage``)
+    are shuffled on both sides of every join, so adaptive execution can split it.
     """
     paths, length = edges.select("old", F.array("new").alias("path")), 1
     while length < max_hops:
@@ -53,5 +58,5 @@ def attach_canonical(
     """Add the final id of ``id_column``; ids without an edge keep themselves."""
     known = resolved.select(F.col("old").alias("_old"), F.col("canonical").alias("_canonical"))
     own: Column = F.col(id_column)
-    joined = df.join(known, own == F.col("_old"), "left")
+    joined = spread_join(df, known, id_column, "_old", "left")
     return joined.withColumn(output, F.coalesce("_canonical", own)).drop("_old", "_canonical")

@@ -7,12 +7,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators.skew import hot_keys, spread_join
+
 
 @dataclass(frozen=True)
 class Lookup:
     """A table with one row per ``on`` value, joined to the driver on ``driver_key``.
 
     ``take`` names the columns to bring, ``defaults`` what stands for a missing one.
+    ``driver_unique`` says that the driver has one row per key too, so none is hot.
     """
 
     df: DataFrame
@@ -21,6 +24,7 @@ class Lookup:
     take: dict[str, str]
     defaults: dict[str, Column] = field(default_factory=dict)
     found_flag: tuple[str, str, str] | None = None
+    driver_unique: bool = False
 
 
 def child_summary(children: DataFrame, parent: str, date: str, count_as: str, latest_as: str) -> DataFrame:
@@ -44,7 +48,11 @@ def build_dim(driver: DataFrame, lookups: list[Lookup]) -> DataFrame:
         side = lookup.df.select(
             F.col(lookup.on).alias(key), *[F.col(old).alias(tmp) for tmp, old in columns.items()]
         )
-        out = out.join(side, F.col(lookup.driver_key) == F.col(key), "left")
+        if lookup.driver_unique:
+            out = out.join(side, F.col(lookup.driver_key) == F.col(key), "left")
+        else:
+            hot = hot_keys(driver, lookup.driver_key)
+            out = spread_join(out, side, lookup.driver_key, key, "left", hot)
         new = {}
         for old, name in lookup.take.items():
             value = F.col(f"_k{i}_{name}")
@@ -60,7 +68,8 @@ def build_dim(driver: DataFrame, lookups: list[Lookup]) -> DataFrame:
 
 def build_fact(quotes: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Quotes of known members with the members' attributes."""
-    return quotes.join(dim, key, "inner")
+    members = dim.withColumnRenamed(key, "_member")
+    return spread_join(quotes, members, key, "_member").drop("_member")
 
 
 def changed_ids(fresh: DataFrame, stored: DataFrame, key: str) -> DataFrame:
@@ -87,9 +96,11 @@ def incremental_slice(
     if year_column:
         new = new.filter(F.col(year_column) >= F.lit(cutoff.year))
     old = quotes.filter(~F.coalesce(recent, F.lit(False)))
-    return new.unionByName(old.join(changed, key, "left_semi"))
+    ids = changed.select(F.col(key).alias("_changed")).distinct()
+    return new.unionByName(spread_join(old, ids, key, "_changed", "left_semi"))
 
 
-def missing_members(df: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def missing_members(df: DataFrame, source: DataFrame, key: str, source_key: str) -> DataFrame:
     """Rows whose key is no longer (or not) in the source."""
-    return df.join(source.select(*keys), keys, "left_anti")
+    known = source.select(F.col(source_key).alias("_known")).distinct()
+    return spread_join(df, known, key, "_known", "left_anti")

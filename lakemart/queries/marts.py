@@ -24,6 +24,7 @@ from lakemart.operators.dimension import (
 )
 from lakemart.operators.keyed import upsert
 from lakemart.operators.quality import Check, any_negative, any_null, run_checks, unmatched_ids
+from lakemart.plans.lineage import cut_lineage
 from lakemart.queries.registry import query
 from lakemart.queries.tables import _edges, _WALK
 
@@ -96,6 +97,7 @@ def dimension(t, events=None):
                 "user_id",
                 {"n_events": "n_events", "last_event": "last_event"},
                 {"n_events": F.lit(0), "last_event": sentinel},
+                driver_unique=True,
             ),
             Lookup(
                 moved,
@@ -104,6 +106,7 @@ def dimension(t, events=None):
                 {"o_orderkey": "canonical_id"},
                 {"canonical_id": F.col("c_custkey")},
                 ("migrated", "Sim", "Nao"),
+                driver_unique=True,
             ),
         ],
     )
@@ -147,16 +150,20 @@ def stored_dimension(t):
     return dimension(t, t.events.filter(F.col("ts") < F.lit(last).cast("timestamp_ntz")))
 
 
+def both_dimensions(t):
+    """The fresh and the stored dimension, each computed once."""
+    return cut_lineage(dimension(t), "dim"), cut_lineage(stored_dimension(t), "dim")
+
+
 @query("dim_changed_ids", f"WITH {DIM_SQL}, {_OLD_DIM}, {_CHANGED} SELECT c_custkey FROM changed")
 def dim_changed_ids(t):
     return changed_ids(dimension(t), stored_dimension(t), "c_custkey")
 
 
-def _slice(t):
-    return incremental_slice(
-        quotes(t), changed_ids(dimension(t), stored_dimension(t), "c_custkey"), "c_custkey",
-        "o_orderdate", CUTOFF, "quote_year",
-    )
+def _fresh_facts(t, fresh, stored):
+    changed = cut_lineage(changed_ids(fresh, stored, "c_custkey"), "changed")
+    new = incremental_slice(quotes(t), changed, "c_custkey", "o_orderdate", CUTOFF, "quote_year")
+    return build_fact(new, fresh, "c_custkey")
 
 
 @query(
@@ -165,16 +172,16 @@ def _slice(t):
         WHERE o_orderdate > TIMESTAMP '2000-06-01' OR c_custkey IN (SELECT c_custkey FROM changed)""",
 )
 def fact_incremental(t):
-    return build_fact(_slice(t), dimension(t), "c_custkey")
+    return _fresh_facts(t, *both_dimensions(t))
 
 
 @query("propagate_end_to_end", f"WITH {DIM_SQL}, {FACT_SQL} SELECT * FROM fact")
 def propagate_end_to_end(t):
     """The stored fact with old attributes, brought up to date; equals a full rebuild."""
     until = F.col("o_orderdate") <= F.lit(CUTOFF).cast("timestamp_ntz")
-    stored = build_fact(quotes(t).filter(until), stored_dimension(t), "c_custkey")
-    fresh = build_fact(_slice(t), dimension(t), "c_custkey")
-    return upsert(stored, fresh, ["c_custkey", "o_orderkey"])
+    fresh_dim, stored_dim = both_dimensions(t)
+    stored = build_fact(quotes(t).filter(until), stored_dim, "c_custkey")
+    return upsert(stored, _fresh_facts(t, fresh_dim, stored_dim), ["c_custkey", "o_orderkey"])
 
 
 @query(
@@ -183,8 +190,8 @@ def propagate_end_to_end(t):
            SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
 )
 def orphan_rows(t):
-    known = t.customer.filter("c_acctbal >= 0").withColumnRenamed("c_custkey", "o_custkey")
-    return missing_members(t.orders, known, ["o_custkey"]).select("o_orderkey", "o_custkey")
+    known = t.customer.filter("c_acctbal >= 0")
+    return missing_members(t.orders, known, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey")
 
 
 @query(
@@ -330,7 +337,9 @@ def canonical_rollup(t):
        FROM v GROUP BY p_name""",
 )
 def variant_spread(t):
-    named = t.lineitem.join(
+    """Lines are reduced to one price per part before names are joined."""
+    dearest = t.lineitem.groupBy("l_partkey").agg(F.max("l_extendedprice").alias("price"))
+    named = dearest.join(
         t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")
     )
-    return q.variant_spread(named, "p_name", "l_partkey", "l_extendedprice")
+    return q.variant_spread(named, "p_name", "l_partkey", "price")

@@ -16,6 +16,7 @@ from lakemart.operators.keyed import (
     same_key,
     upsert,
 )
+from lakemart.plans.lineage import cut_lineage
 from lakemart.queries.registry import query
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -251,12 +252,16 @@ def _rename_events(t):
 
 
 def _edges(t):
+    return cut_lineage(_latest(t), "edges")
+
+
+def _latest(t):
     return latest_edges(_rename_events(t), "old_id", "new_id", ["o_orderdate", "o_orderkey"])
 
 
 @query("edge_latest", f"WITH {_EDGES} SELECT old, new FROM edges")
 def edge_latest(t):
-    return _edges(t)
+    return _latest(t)
 
 
 @query("chain_resolve", f"{_WALK} SELECT old, canonical, hops FROM resolved")
