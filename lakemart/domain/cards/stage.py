@@ -15,13 +15,14 @@ from lakemart.functions.values import (
 )
 
 
-def _project(df: DataFrame, feed: str, columns: dict) -> DataFrame:
+def _project(df: DataFrame, feed: str, columns: dict, keep=()) -> DataFrame:
     """The feed's fixed columns; those without a source are typed NULLs."""
     return df.select(
         *[
             columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
             for f in STAGE[feed].fields
-        ]
+        ],
+        *keep,
     )
 
 
@@ -62,8 +63,11 @@ def sets(raw: DataFrame) -> DataFrame:
     return _project(raw, "sets", columns)
 
 
-def card_prices(raw: DataFrame) -> DataFrame:
-    """One row per printing; unlike elsewhere an empty image object counts as absent."""
+def card_prices(raw: DataFrame, keep=()) -> DataFrame:
+    """One row per printing; unlike elsewhere an empty image object counts as absent.
+
+    ``keep`` names columns to carry beside the fixed ones.
+    """
     root = F.col("image_uris")
     first = F.get(F.col("card_faces"), F.lit(0))["image_uris"]
     image = F.when(F.size(root) > 0, root).otherwise(first)
@@ -73,7 +77,7 @@ def card_prices(raw: DataFrame) -> DataFrame:
     }
     for price in "usd usd_foil usd_etched eur eur_foil tix".split():
         columns[price] = F.col(f"prices.{price}")
-    return _project(raw, "card_prices", columns)
+    return _project(raw, "card_prices", columns, keep)
 
 
 def rulings(raw: DataFrame) -> DataFrame:

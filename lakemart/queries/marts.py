@@ -58,8 +58,8 @@ _DIM = """ev AS (SELECT user_id, count(*) AS n_events, max(ts) AS last_event FRO
                    coalesce(last_event, TIMESTAMP '1001-01-01') AS last_event,
                    coalesce(new_id, c_custkey) AS canonical_id,
                    CASE WHEN old_id IS NOT NULL THEN 'Sim' ELSE 'Nao' END AS migrated
-            FROM customer LEFT JOIN (SELECT n_nationkey, n_name, nullif(r_name, 'ASIA') AS r_name FROM nation
-                 JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 7) ON c_nationkey = n_nationkey
+            FROM customer LEFT JOIN (SELECT nullif(n_nationkey, 7) AS n_nationkey, n_name, nullif(r_name, 'ASIA') AS r_name
+                 FROM nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey
             LEFT JOIN ev ON c_custkey = user_id LEFT JOIN mig ON c_custkey = old_id)"""
 DIM_SQL = _DIM.format(when="")
 FACT_SQL = """fact AS (SELECT dim.*, o_orderkey, o_orderdate, o_totalprice, year(o_orderdate) AS quote_year
@@ -68,9 +68,8 @@ FACT_SQL = """fact AS (SELECT dim.*, o_orderkey, o_orderdate, o_totalprice, year
 
 def dimension(t, events=None):
     sets = (
-        t.nation.filter("n_nationkey <> 7")
-        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_name", F.nullif(F.col("r_name"), F.lit("ASIA")).alias("r_name"))
+        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.nullif(F.col("n_nationkey"), F.lit(7)).alias("n_nationkey"), "n_name", F.nullif(F.col("r_name"), F.lit("ASIA")).alias("r_name"))
     )
     children = child_summary(
         t.events if events is None else events, "user_id", "ts", "n_events", "last_event"

@@ -110,7 +110,7 @@ _UPDATED = """b AS (SELECT l_orderkey, l_linenumber, round(max(l_quantity) + 1,
 @query(
     "upsert_composite",
     f"""WITH a AS (SELECT nullif(l_orderkey, 7) AS l_orderkey, l_linenumber, round(min(l_quantity), 4) AS quantity
-                   FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL),
+                   FROM lineitem GROUP BY ALL),
              {_UPDATED.replace('SELECT l_orderkey', 'SELECT nullif(l_orderkey, 7) AS l_orderkey')}
         SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.l_orderkey IS NOT DISTINCT FROM a.l_orderkey
                AND b.l_linenumber IS NOT DISTINCT FROM a.l_linenumber) UNION ALL SELECT * FROM b""",
@@ -119,8 +119,7 @@ def upsert_composite(t):
     """Two-column key with NULL parts: a NULL key replaces a NULL key."""
     lines = t.lineitem.withColumn("l_orderkey", F.nullif(F.col("l_orderkey"), F.lit(7)))
     target = (
-        lines.filter("l_returnflag <> 'N'")
-        .groupBy(*LINE_KEY)
+        lines.groupBy(*LINE_KEY)
         .agg(F.round(F.min("l_quantity"), 4).alias("quantity"))
     )
     batch = (
