@@ -61,7 +61,7 @@ def dimension(cards: DataFrame, sets: DataFrame, rulings: DataFrame, migrations:
     return build_dim(cards.select(*sc.DIM[:9]), lookups).select(*sc.DIM)
 
 
-def fact(prices: DataFrame, dim: DataFrame) -> DataFrame:
+def fact(prices: DataFrame, dim: DataFrame, hot: list | None = None) -> DataFrame:
     quotes = prices.select(
         "ID_CARTA",
         F.col("DT_INGESTAO").alias("DT_COTACAO"),
@@ -69,7 +69,7 @@ def fact(prices: DataFrame, dim: DataFrame) -> DataFrame:
         F.col("ANO_INGESTAO").alias("ANO_COTACAO"),
         F.col("MES_INGESTAO").alias("MES_COTACAO"),
     )
-    return build_fact(quotes, dim, "ID_CARTA").select(*sc.FACT)
+    return build_fact(quotes, dim, "ID_CARTA", hot).select(*sc.FACT)
 
 
 MART = MartSpec(

@@ -18,6 +18,7 @@ from lakemart.operators.quality import enforce, run_checks, unmatched_ids
 from lakemart.plans.bronze import load_new_snapshots
 from lakemart.plans.keyed_save import save_keyed
 from lakemart.plans.landing import land_snapshot
+from lakemart.plans.lineage import scratch
 from lakemart.plans.mart import refresh_mart
 from lakemart.plans.runlog import audit_run, run_logged, utc_now
 from lakemart.plans.store import TableStore
@@ -114,18 +115,19 @@ def run_silver(bronze: TableStore, silver_store: TableStore, table: str, as_of:
         bronze.read(spec.feed), stored, "bronze_ingestion_timestamp", "DT_INGESTAO_BRONZE"
     )
     df = spec.transform(fresh, as_of)
-    if spec.feed == "migrations":
-        df = silver.with_canonical(df, stored)
-    save_keyed(
-        df,
-        silver_store,
-        table,
-        spec.keys,
-        spec.order_by,
-        spec.partition_by,
-        documented=spec.columns,
-        key_decides_partition=spec.key_decides_partition,
-    )
+    with scratch(silver_store.spark) as cut:
+        if spec.feed == "migrations":
+            df = silver.with_canonical(df, stored, cut)
+        save_keyed(
+            df,
+            silver_store,
+            table,
+            spec.keys,
+            spec.order_by,
+            spec.partition_by,
+            documented=spec.columns,
+            key_decides_partition=spec.key_decides_partition,
+        )
 
 
 def run_gold(silver_store: TableStore, gold_store: TableStore, rebuild: bool = False, clock=utc_now):

@@ -185,14 +185,18 @@ def migrations(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return normalise_columns(_contract(df, columns, names), ["NME_CARTA_ASSOCIADA", "NME_FONTE"])
 
 
-def with_canonical(batch: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Attach the final id, from the edges of the batch and of the stored events."""
+def with_canonical(batch: DataFrame, stored: DataFrame | None = None, cut=cut_lineage) -> DataFrame:
+    """Attach the final id, from the edges of the batch and of the stored events.
+
+    ``cut`` writes the batch and its edges, each used more than once.
+    """
+    batch = cut(batch, "moves")
     needed = ["NME_ESTRATEGIA_MIGRACAO", "ID_CARTA_ANTIGO", "ID_CARTA_NOVO", "DT_EXECUCAO", "ID_MIGRACAO"]
     events = batch.select(*needed)
     if stored is not None:
         events = events.union(stored.select(*needed))
     merges = events.filter(F.col("NME_ESTRATEGIA_MIGRACAO") == sc.STRATEGIES["merge"])
     edges = latest_edges(merges, "ID_CARTA_ANTIGO", "ID_CARTA_NOVO", ["DT_EXECUCAO", "ID_MIGRACAO"])
-    final = resolve_chain(cut_lineage(edges, "edges"))
+    final = resolve_chain(cut(edges, "edges"))
     resolved = attach_canonical(batch, final, "ID_CARTA_ANTIGO", "ID_CARTA_CANONICO")
     return resolved.select(*sc.MIGRATIONS)

@@ -66,10 +66,13 @@ def build_dim(driver: DataFrame, lookups: list[Lookup]) -> DataFrame:
     return out
 
 
-def build_fact(quotes: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Quotes of known members with the members' attributes."""
+def build_fact(quotes: DataFrame, dim: DataFrame, key: str, hot: list | None = None) -> DataFrame:
+    """Quotes of known members with the members' attributes.
+
+    ``hot`` lists members with very many quotes when known, else they are looked for.
+    """
     members = dim.withColumnRenamed(key, "_member")
-    return spread_join(quotes, members, key, "_member").drop("_member")
+    return spread_join(quotes, members, key, "_member", hot=hot).drop("_member")
 
 
 def changed_ids(fresh: DataFrame, stored: DataFrame, key: str) -> DataFrame:
@@ -96,11 +99,10 @@ def incremental_slice(
     if year_column:
         new = new.filter(F.col(year_column) >= F.lit(cutoff.year))
     old = quotes.filter(~F.coalesce(recent, F.lit(False)))
-    ids = changed.select(F.col(key).alias("_changed")).distinct()
-    return new.unionByName(spread_join(old, ids, key, "_changed", "left_semi"))
+    return new.unionByName(old.join(changed, key, "left_semi"))
 
 
 def missing_members(df: DataFrame, source: DataFrame, key: str, source_key: str) -> DataFrame:
     """Rows whose key is no longer (or not) in the source."""
-    known = source.select(F.col(source_key).alias("_known")).distinct()
-    return spread_join(df, known, key, "_known", "left_anti")
+    known = source.select(F.col(source_key).alias("_known"))
+    return df.join(known, F.col(key) == F.col("_known"), "left_anti")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.paths import normalise_path
-from lakemart.operators.skew import spread_join
 
 
 def read_increment(
@@ -44,5 +43,4 @@ def window_members(df: DataFrame, code: str, lookup: DataFrame, lookup_code: str
     No forced broadcast: Spark broadcasts the lookup when its size allows it.
     """
     codes = lookup.select(F.lower(F.col(lookup_code)).alias("_code")).filter("_code IS NOT NULL")
-    keyed = df.withColumn("_lower", F.lower(F.col(code)))
-    return spread_join(keyed, codes.distinct(), "_lower", "_code", "left_semi").drop("_lower")
+    return df.join(codes, F.lower(F.col(code)) == F.col("_code"), "left_semi")

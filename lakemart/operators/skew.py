@@ -1,9 +1,16 @@
-"""Joins whose many-side may hold most of its rows under one key."""
+"""Joins whose many-side may hold most of its rows under one key.
+
+Adaptive execution splits a hot key by itself when both join inputs are shuffled
+for that join, so plain joins suffice where both sides are scans or written
+tables. ``spread_join`` is for the others: a side that is already partitioned by
+the key, because it was grouped by it, takes part without a shuffle of its own.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 # A key is hot from this share of the rows on, so there are at most 1 / share of them.
 HOT_SHARE = 1 / 64
@@ -34,7 +41,8 @@ def spread_join(
     if not hot and how in ("inner", "left_semi"):
         return many.join(one, F.col(many_key) == F.col(one_key), how)
     salts = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rest = [c for c in many.columns if c != many_key] or [many_key]
+    atomic = [f.name for f in many.schema.fields if isinstance(f.dataType, AtomicType)]
+    rest = [c for c in atomic if c != many_key] or [many_key]
     spread = F.col(many_key).isNull() | F.col(many_key).isin(*hot)
     salt = F.when(spread, F.pmod(F.xxhash64(*rest), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
     repeated = F.when(

@@ -18,7 +18,7 @@ from lakemart.operators.keyed import (
     same_key,
     upsert,
 )
-from lakemart.plans.lineage import cut_lineage
+from lakemart.plans.lineage import scratch
 from lakemart.plans.store import TableStore, with_folder
 
 
@@ -54,14 +54,19 @@ def save_keyed(
         store.overwrite(df, table, partition_by, check=lambda new: keys and check_keys(new, keys, table))
         return
 
-    batch = cut_lineage(df, f"batch-{table}")
-    if on_duplicate == "abort":
-        check_batch_keys(batch, keys, table)
-    kinds = {kind for _, kind, _, _ in compare_fields(field_types(current.schema), field_types(df.schema))}
-    if not partition_by or "retyped" in kinds:
-        store.overwrite(upsert(_retyped(current, batch), batch, keys), table, partition_by)
-    else:
-        _upsert_partitions(store, table, current, batch, keys, partition_by, key_decides_partition)
+    with scratch(store.spark) as cut:
+        batch = cut(df, f"batch-{table}")
+        if batch.isEmpty():
+            return
+        if on_duplicate == "abort":
+            check_batch_keys(batch, keys, table)
+        diff = compare_fields(field_types(current.schema), field_types(df.schema))
+        if not partition_by or any(kind == "retyped" for _, kind, _, _ in diff):
+            store.overwrite(upsert(_retyped(current, batch), batch, keys), table, partition_by)
+        else:
+            _upsert_partitions(
+                store, table, current, batch, keys, partition_by, key_decides_partition
+            )
     if on_duplicate != "abort":
         check_keys(store.read(table), keys, table)
 

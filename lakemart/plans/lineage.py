@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,12 +25,45 @@ def work_dir(spark: SparkSession) -> str:
     return base
 
 
+def _application_dir(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/lakemart/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/lakemart/{label}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, label: str) -> DataFrame:
-    """Write once, read back with the same schema."""
-    path = new_path(df.sparkSession, label)
+    """Write once, read back with the same schema. Stays until ``clear_scratch``."""
+    return _written(df, new_path(df.sparkSession, label))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """``cut(df, label)`` whose tables are removed when the job using them is done."""
+    paths = []
+
+    def cut(df: DataFrame, label: str) -> DataFrame:
+        paths.append(new_path(spark, label))
+        return _written(df, paths[-1])
+
+    try:
+        yield cut
+    finally:
+        for path in paths:
+            delete(spark, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all cut tables of this application."""
+    delete(spark, _application_dir(spark))

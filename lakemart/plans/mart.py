@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators.dimension import changed_ids, incremental_slice
 from lakemart.plans.keyed_save import save_keyed
-from lakemart.plans.lineage import cut_lineage
+from lakemart.plans.lineage import scratch
 from lakemart.plans.store import TableStore
 
 
@@ -18,7 +18,7 @@ from lakemart.plans.store import TableStore
 class MartSpec:
     """Names of a mart. ``quote_time`` and ``quote_year`` are columns of the quotes,
     ``fact_time`` the fact's name for the former; ``assemble`` joins quotes to the
-    dimension and projects the fact."""
+    dimension, given the hot members or None, and projects the fact."""
 
     dim_table: str
     fact_table: str
@@ -27,7 +27,7 @@ class MartSpec:
     quote_year: str | None
     fact_time: str
     fact_partitions: tuple[str, ...]
-    assemble: Callable[[DataFrame, DataFrame], DataFrame]
+    assemble: Callable[[DataFrame, DataFrame, list | None], DataFrame]
     dim_columns: list[str] | None = None
     fact_columns: list[str] | None = None
 
@@ -46,38 +46,43 @@ def refresh_mart(
     from the stored one are found before anything is replaced. The fact goes first:
     should it fail, the stored dimension still shows the same changes next time.
     """
-    dim = cut_lineage(dim, f"dim-{spec.dim_table}")
-    stored_dim = store.read_or_none(spec.dim_table)
-    stored_fact = store.read_or_none(spec.fact_table)
-    stored_columns = stored_dim.columns if stored_dim is not None else None
-    cutoff = None
-    if may_increment(rebuild, stored_fact is not None, stored_columns, dim.columns):
-        cutoff = stored_fact.agg(F.max(spec.fact_time)).first()[0]
-    if cutoff is not None:
-        changed = cut_lineage(changed_ids(dim, stored_dim, spec.key), "changed")
-        quotes = incremental_slice(
-            quotes, changed, spec.key, spec.quote_time, cutoff, spec.quote_year
+    with scratch(store.spark) as cut:
+        dim = cut(dim, f"dim-{spec.dim_table}")
+        stored_dim = store.read_or_none(spec.dim_table)
+        stored_fact = store.read_or_none(spec.fact_table)
+        stored_columns = stored_dim.columns if stored_dim is not None else None
+        cutoff = None
+        if may_increment(rebuild, stored_fact is not None, stored_columns, dim.columns):
+            cutoff = stored_fact.agg(F.max(spec.fact_time)).first()[0]
+        if cutoff is not None:
+            changed = cut(changed_ids(dim, stored_dim, spec.key), "changed")
+            quotes = incremental_slice(
+                quotes, changed, spec.key, spec.quote_time, cutoff, spec.quote_year
+            )
+        # A rebuild looks for hot members in one column of the quotes. In an increment
+        # that would repeat the slice, and both inputs of its join are shuffled for
+        # it, so adaptive execution can split a hot member.
+        hot = None if cutoff is None else []
+        seen = Observation()
+        fact = spec.assemble(quotes, dim, hot).observe(seen, F.count(F.lit(1)).alias("n"))
+        save_keyed(
+            fact,
+            store,
+            spec.fact_table,
+            keys=[spec.key, spec.fact_time],
+            partition_by=spec.fact_partitions,
+            documented=spec.fact_columns,
+            on_duplicate="abort",
+            mode="upsert" if cutoff is not None else "overwrite",
+            key_decides_partition=True,
         )
-    seen = Observation()
-    fact = spec.assemble(quotes, dim).observe(seen, F.count(F.lit(1)).alias("n"))
-    save_keyed(
-        fact,
-        store,
-        spec.fact_table,
-        keys=[spec.key, spec.fact_time],
-        partition_by=spec.fact_partitions,
-        documented=spec.fact_columns,
-        on_duplicate="abort",
-        mode="upsert" if cutoff is not None else "overwrite",
-        key_decides_partition=True,
-    )
-    save_keyed(
-        dim,
-        store,
-        spec.dim_table,
-        keys=[spec.key],
-        documented=spec.dim_columns,
-        on_duplicate="abort",
-        mode="overwrite",
-    )
-    return seen.get["n"]
+        save_keyed(
+            dim,
+            store,
+            spec.dim_table,
+            keys=[spec.key],
+            documented=spec.dim_columns,
+            on_duplicate="abort",
+            mode="overwrite",
+        )
+        return seen.get["n"]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakemart.plans.lineage import new_path
+from lakemart.plans.lineage import delete, new_path
 
 
 @dataclass(frozen=True)
@@ -146,7 +146,8 @@ class TableStore:
         for folder in intent["emptied"]:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.spark._jvm.java.net.URI(folder))
             self._fs(self.root).delete(path, True)
-        self._fs(marker).delete(self._path(marker), False)
+        delete(self.spark, marker)
+        delete(self.spark, intent["staged"])
 
     def _add_columns(self, table: str, incoming: StructType) -> None:
         known = self.schema(table)

@@ -162,7 +162,7 @@ def dim_changed_ids(t):
 def _fresh_facts(t, fresh, stored):
     changed = cut_lineage(changed_ids(fresh, stored, "c_custkey"), "changed")
     new = incremental_slice(quotes(t), changed, "c_custkey", "o_orderdate", CUTOFF, "quote_year")
-    return build_fact(new, fresh, "c_custkey")
+    return build_fact(new, fresh, "c_custkey", hot=[])
 
 
 @query(

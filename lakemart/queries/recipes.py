@@ -291,8 +291,16 @@ _DIM = f"""{_MOVES}, cards AS ({_CARD_SILVER}), sets AS ({_SET_SILVER}), rulings
 
 
 def gold_dimension(t):
-    tables = silver_cards(t), silver_sets(t), silver_rulings(t), silver_migrations(t)
-    return gold.dimension(*tables)
+    """From keyed tables written first, as the mart reads them."""
+    tables = {
+        "cards": silver_cards(t).select(*sc.DIM[:9]),
+        "sets": silver_sets(t).select("COD_COLECAO", "NME_COLECAO", "NME_BLOCO", "DT_LANCAMENTO"),
+        "rulings": silver_rulings(t).select("ID_ORACLE", "DT_PUBLICACAO"),
+        "moves": silver_migrations(t).select(
+            "ID_CARTA_ANTIGO", "DT_EXECUCAO", "ID_MIGRACAO", "ID_CARTA_CANONICO"
+        ),
+    }
+    return gold.dimension(*[cut_lineage(df, name) for name, df in tables.items()])
 
 
 @query("recipe_dim", f"{_DIM} SELECT * FROM dim")

@@ -95,7 +95,7 @@ def test_when_to_increment():
     assert not may_increment(False, True, ["b", "a"], ["a", "b"])
 
 
-def assemble(quotes, dim):
+def assemble(quotes, dim, hot):
     return quotes.withColumnRenamed("t", "quoted").join(dim, "id")
 
 
