@@ -94,11 +94,12 @@ def incremental_slice(
     first prunes partitions and reads only new rows, the second is a semi join.
     """
     bound = F.lit(cutoff).cast(quotes.schema[time].dataType)
-    recent = F.col(time) > bound
-    new = quotes.filter(recent)
+    new = quotes.filter(F.col(time) > bound)
+    old = quotes.filter((F.col(time) <= bound) | F.col(time).isNull())
     if year_column:
-        new = new.filter(F.col(year_column) >= F.lit(cutoff.year))
-    old = quotes.filter(~F.coalesce(recent, F.lit(False)))
+        year = F.col(year_column)
+        new = new.filter(year >= cutoff.year)
+        old = old.filter((year <= cutoff.year) | year.isNull())
     return new.unionByName(old.join(changed, key, "left_semi"))
 
 

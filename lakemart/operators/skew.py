@@ -44,7 +44,7 @@ def spread_join(
     atomic = [f.name for f in many.schema.fields if isinstance(f.dataType, AtomicType)]
     rest = [c for c in atomic if c != many_key] or [many_key]
     spread = F.col(many_key).isNull() | F.col(many_key).isin(*hot)
-    salt = F.when(spread, F.pmod(F.xxhash64(*rest), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
+    salt = F.when(spread, F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")).otherwise(0)
     repeated = F.when(
         F.col(one_key).isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))
     ).otherwise(F.array(F.lit(0)))
