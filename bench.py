@@ -11,6 +11,7 @@ import os
 import statistics
 import time
 
+from lakemart.plans.lineage import clear_scratch
 from lakemart.queries import QUERIES
 from lakemart.session import local_session
 
@@ -54,6 +55,7 @@ def main() -> None:
     for name in names:
         timed(spark, folder, name)
         seconds[name] = round(statistics.median(timed(spark, folder, name) for _ in range(runs)), 3)
+        clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

@@ -82,11 +82,23 @@ def _fold_multiple(text: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    """Compatibility-decompose and keep only the ASCII part; NULL stays NULL."""
+    """Compatibility-decompose and keep only the ASCII part; NULL stays NULL.
+
+    Plain ASCII is recognised by its length in bytes. Text whose other characters
+    all fold to one letter, the usual case, takes a single character mapping.
+    """
     single, _ = _ascii_folds()
-    folded = F.translate(_fold_multiple(c), "".join(single), "".join(single.values()))
+    accented, letters = "".join(single), "".join(single.values())
     ascii_only = F.octet_length(c) == F.char_length(c)
-    return F.when(ascii_only, c).otherwise(F.regexp_replace(folded, r"[^\x00-\x7F]+", ""))
+    unusual = F.translate(F.regexp_replace(c, r"[\x00-\x7F]+", ""), accented, "")
+    everything = F.regexp_replace(
+        F.translate(_fold_multiple(c), accented, letters), r"[^\x00-\x7F]+", ""
+    )
+    return (
+        F.when(ascii_only, c)
+        .when(unusual == "", F.translate(c, accented, letters))
+        .otherwise(everything)
+    )
 
 
 def normalise_text(c: Column) -> Column:

@@ -26,7 +26,8 @@ def read_increment(
 
 def new_snapshots(listed: DataFrame, loaded: DataFrame, source_file: str = "source_file") -> DataFrame:
     """Listed paths not yet among the loaded rows' source files."""
-    seen = loaded.select(normalise_path(F.col(source_file)).alias("_seen")).distinct()
+    files = loaded.select(source_file).distinct()
+    seen = files.select(normalise_path(F.col(source_file)).alias("_seen"))
     path = normalise_path(F.col("path"))
     return listed.join(seen, path == F.col("_seen"), "left_anti")
 

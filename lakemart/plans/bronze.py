@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators.contract import check_contract
 from lakemart.operators.increment import new_snapshots
+from lakemart.plans.counts import RowCount
 from lakemart.plans.runlog import run_logged
 from lakemart.plans.store import TableStore
 from lakemart.sources.snapshots import list_snapshots
@@ -50,9 +51,9 @@ def load_new_snapshots(
         check_contract(
             table, current.schema if current is not None else None, batch.schema, documented, allow_break
         )
-        seen = Observation()
-        store.append(batch.observe(seen, F.count(F.lit(1)).alias("n")), table)
-        run["records_read"] = run["records_written"] = seen.get["n"]
+        loaded = RowCount()
+        store.append(loaded.on(batch), table)
+        run["records_read"] = run["records_written"] = loaded.value
         return batch
 
     return run_logged(store, table, job, load_ts)

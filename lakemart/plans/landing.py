@@ -12,6 +12,7 @@ from lakemart.functions.dates import partition_columns
 from lakemart.functions.paths import path_name, snapshot_name
 from lakemart.functions.values import parse_date
 from lakemart.operators.increment import pending_snapshots
+from lakemart.plans.counts import RowCount
 from lakemart.plans.store import gathered
 from lakemart.sources.snapshots import list_snapshots
 
@@ -57,21 +58,31 @@ def land_snapshot(
 ) -> DataFrame | None:
     """Write the snapshot's (year, month) folders that this day has not completed yet.
 
-    One pass counts rows per folder and NULLs of the mandatory columns; one
+    One pass counts the rows before the cut-off (``run["records_read"]``), the rows
+    per folder after it and NULLs of the mandatory columns; one
     partitioned job writes all pending folders. A folder counts as complete once
     it holds ``_SUCCESS``, written after the job committed, so a half-written one
     is replaced on the next run. Returns None when the input is empty.
     """
     spark, run = df.sparkSession, run if run is not None else {}
-    ready = with_partition(stamp(df, table, run_ts, default_source), run_ts, date_column)
-    if cutoff is not None and date_column is not None:
-        ready = ready.filter(F.col(date_column) >= F.lit(cutoff.isoformat()))
     name = snapshot_name(F.col(YEAR), F.col(MONTH), run_ts.date(), table)
-    ready = ready.withColumn("snapshot", name).drop(YEAR, MONTH)
 
+    def prepared(rows: DataFrame) -> DataFrame:
+        if cutoff is not None and date_column is not None:
+            rows = rows.filter(F.col(date_column) >= F.lit(cutoff.isoformat()))
+        stamped = stamp(rows, table, run_ts, default_source)
+        dated = with_partition(stamped, run_ts, date_column)
+        return dated.withColumn("snapshot", name).drop(YEAR, MONTH)
+
+    ready, total = prepared(df), RowCount()
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in required]
-    profile = ready.groupBy("snapshot").agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
+    profile = (
+        prepared(total.on(df))
+        .groupBy("snapshot")
+        .agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
+    )
     folders = [r.asDict() for r in profile.collect()]
+    run["records_read"] = total.value
     if not folders:
         return None
     missing = {c: sum(f[f"_null_{c}"] for f in folders) for c in required}

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators.dimension import changed_ids, incremental_slice
+from lakemart.plans.counts import RowCount
 from lakemart.plans.keyed_save import save_keyed
 from lakemart.plans.lineage import scratch
 from lakemart.plans.store import TableStore
@@ -63,8 +64,8 @@ def refresh_mart(
         # that would repeat the slice, and both inputs of its join are shuffled for
         # it, so adaptive execution can split a hot member.
         hot = None if cutoff is None else []
-        seen = Observation()
-        fact = spec.assemble(quotes, dim, hot).observe(seen, F.count(F.lit(1)).alias("n"))
+        processed = RowCount()
+        fact = processed.on(spec.assemble(quotes, dim, hot))
         save_keyed(
             fact,
             store,
@@ -85,4 +86,4 @@ def refresh_mart(
             on_duplicate="abort",
             mode="overwrite",
         )
-        return seen.get["n"]
+        return processed.value

@@ -41,11 +41,11 @@ def test_landing_writes_each_month_once_a_day(spark, tmp_path):
     run = {}
     landed = land_snapshot(df, root, "card_prices", DAY, date_column="releaseDate", run=run)
     assert landed.columns == ["id", "releaseDate", "usd", "ingestion_timestamp", "source", "endpoint"]
-    assert run == {"files_written": 3, "files_skipped": 0, "records_written": 3}
+    assert run == {"records_read": 3, "files_written": 3, "files_skipped": 0, "records_written": 3}
     names = {pathlib.Path(r.path).name for r in list_snapshots(spark, f"{root}/card_prices").collect()}
     assert names == {f"snapshot={m}_20260905_card_prices.parquet" for m in ("2021_03", "2021_04", "2026_09")}
     land_snapshot(df, root, "card_prices", DAY, date_column="releaseDate", run=run)
-    assert run == {"files_written": 0, "files_skipped": 3, "records_written": 0}
+    assert run == {"records_read": 3, "files_written": 0, "files_skipped": 3, "records_written": 0}
     land_snapshot(df, root, "card_prices", NEXT, date_column="releaseDate", run=run)
     assert run["files_written"] == 3
 
@@ -57,14 +57,16 @@ def test_half_written_month_is_replaced(spark, tmp_path):
     folder = tmp_path / "stage/card_prices/snapshot=2021_03_20260905_card_prices.parquet"
     (folder / "_SUCCESS").unlink()
     land_snapshot(df, root, "card_prices", DAY, date_column="releaseDate", run=run)
-    assert run == {"files_written": 1, "files_skipped": 1, "records_written": 1}
+    assert run == {"records_read": 2, "files_written": 1, "files_skipped": 1, "records_written": 1}
     assert spark.read.parquet(str(folder)).count() == 1
 
 
 def test_landing_window_and_mandatory_columns(spark, tmp_path):
     root = str(tmp_path / "stage")
     df = prices(spark, [("a", "2020-12-31", "1"), ("b", "2021-01-01", None), ("c", None, "1")])
-    kept = land_snapshot(df, root, "p", DAY, date_column="releaseDate", cutoff=dt.date(2021, 1, 1))
+    run = {}
+    kept = land_snapshot(df, root, "p", DAY, date_column="releaseDate", cutoff=dt.date(2021, 1, 1), run=run)
+    assert (run["records_read"], run["records_written"]) == (3, 1)
     assert [r.id for r in kept.collect()] == ["b"]
     with pytest.raises(ValueError, match=r"'usd': 1"):
         land_snapshot(df, root, "q", DAY, required=["id", "usd"])
