@@ -83,8 +83,8 @@ def bracket_text(t):
 
 @query(
     "symbol_count",
-    """SELECT doc_id, CASE WHEN text IS NULL OR text = 'NA' THEN 0
-              ELSE length(regexp_replace(upper(text), '[^WUBRG]', '', 'g')) END AS n_symbols
+    """SELECT doc_id, CAST(CASE WHEN text IS NULL OR text = 'NA' THEN 0
+              ELSE length(regexp_replace(upper(text), '[^WUBRG]', '', 'g')) END AS INTEGER) AS n_symbols
        FROM documents""",
 )
 def symbol_count(t):

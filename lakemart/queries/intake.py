@@ -137,8 +137,8 @@ def snapshot_stamp(t):
 
 @query(
     "partition_derive",
-    """SELECT o_orderkey, CASE WHEN d IS NOT NULL THEN year(d) ELSE 2026 END AS partition_year,
-              CASE WHEN d IS NOT NULL THEN month(d) ELSE 9 END AS partition_month
+    """SELECT o_orderkey, CAST(coalesce(year(d), 2026) AS INTEGER) AS partition_year,
+              CAST(coalesce(month(d), 9) AS INTEGER) AS partition_month
        FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS d
              FROM orders)""",
 )
@@ -150,7 +150,7 @@ def partition_derive(t):
 
 @query(
     "partition_counts",
-    """SELECT year(o_orderdate) AS partition_year, month(o_orderdate) AS partition_month,
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS partition_year, CAST(month(o_orderdate) AS INTEGER) AS partition_month,
               count(*) AS n_rows FROM orders GROUP BY ALL""",
 )
 def partition_counts_query(t):

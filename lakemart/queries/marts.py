@@ -62,7 +62,7 @@ _DIM = """ev AS (SELECT user_id, count(*) AS n_events, max(ts) AS last_event FRO
                  FROM nation JOIN region ON n_regionkey = r_regionkey) ON c_nationkey = n_nationkey
             LEFT JOIN ev ON c_custkey = user_id LEFT JOIN mig ON c_custkey = old_id)"""
 DIM_SQL = _DIM.format(when="")
-FACT_SQL = """fact AS (SELECT dim.*, o_orderkey, o_orderdate, o_totalprice, year(o_orderdate) AS quote_year
+FACT_SQL = """fact AS (SELECT dim.*, o_orderkey, o_orderdate, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS quote_year
                        FROM orders JOIN dim ON o_custkey = c_custkey)"""
 
 
@@ -252,7 +252,7 @@ def dq_report(t):
 
 @query(
     "audit_summary",
-    """WITH e AS (SELECT event_type AS table_name, year(ts) * 100 + month(ts) AS run, count(*) AS processed,
+    """WITH e AS (SELECT event_type AS table_name, CAST(year(ts) * 100 + month(ts) AS INTEGER) AS run, count(*) AS processed,
                          count(*) FILTER (value > 100) AS high, count(*) FILTER (user_id = 0) AS zero
                   FROM events GROUP BY ALL)
        SELECT table_name, run, processed, 'high=' || high || ', zero=' || zero AS dq_result,
@@ -297,7 +297,7 @@ def appreciation(t):
 
 @query(
     "price_trend",
-    """WITH m AS (SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, 
+    """WITH m AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, 
                          CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS a
                   FROM orders GROUP BY ALL)
        SELECT year, month, a AS avg_price, a - lag(a) OVER (ORDER BY year, month) AS change

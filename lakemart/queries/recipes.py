@@ -62,8 +62,8 @@ _CARD_SILVER = f"""
            {_labelled('oracle_text')} AS DESC_CARTA, coalesce(power, '0') AS NME_FORCA,
            CASE WHEN COD_CORES = 'Colorless' THEN 'Colorless' WHEN COD_CORES = 'W' THEN 'Mono'
                 WHEN COD_CORES = 'W, U' THEN 'Dual_Color' ELSE 'Multicolor' END AS NME_CATEGORIA_COR,
-           CASE WHEN DESC_CUSTO_MANA = 'NA' THEN 0 ELSE
-                length(regexp_replace(upper(DESC_CUSTO_MANA), '[^WUBRG]', '', 'g')) END AS QTD_CORES,
+           CAST(CASE WHEN DESC_CUSTO_MANA = 'NA' THEN 0 ELSE
+                length(regexp_replace(upper(DESC_CUSTO_MANA), '[^WUBRG]', '', 'g')) END AS INTEGER) AS QTD_CORES,
            '["' || rarity || '": "' || set_code || '"]' AS DESC_LEGALIDADES, 2002 AS ANO_INGESTAO
     FROM (SELECT *, {_bracketed("CASE WHEN coalesce(mana_cost, '') = '' THEN 'NA' ELSE mana_cost END")} AS DESC_CUSTO_MANA,
                  CASE WHEN coalesce(colours, '') = '' THEN 'Colorless' ELSE colours END AS COD_CORES,
@@ -123,7 +123,7 @@ _SET_SILVER = f"""
     SELECT upper(code) AS COD_COLECAO, {_normalised('name')} AS NME_COLECAO, 'Core' AS NME_TIPO_COLECAO,
            CAST(strptime(released, '%Y-%m-%d') AS DATE) AS DT_LANCAMENTO, online AS FLG_SOMENTE_ONLINE,
            CAST(CASE WHEN n < 100 THEN n END AS INTEGER) AS QTD_CARTAS, {_normalised('block')} AS NME_BLOCO,
-           year(strptime(released, '%Y-%m-%d')) AS ANO_LANCAMENTO
+           CAST(year(strptime(released, '%Y-%m-%d')) AS INTEGER) AS ANO_LANCAMENTO
     FROM (SELECT CASE WHEN p_brand = 'Brand#7' THEN 'unlisted' ELSE lower(p_brand) END AS code, 'coleção ' || p_brand AS name, count(*) AS n,
                  CAST(1990 + min(p_size) AS VARCHAR) || '-02-01' AS released, max(p_size) > 49 AS online,
                  CASE WHEN min(p_size) < 2 THEN 'bloco ' || p_brand END AS block
@@ -161,7 +161,7 @@ def recipe_sets(t):
 # Distinct lines are the quotes, so that the arbitrary choice among equal keys has one answer.
 _PRICE_SILVER = """
     SELECT 'card-' || l_partkey AS ID_CARTA, l_shipdate AS DT_INGESTAO, CAST(CAST(min(usd) AS FLOAT) AS DOUBLE) AS VLR_USD,
-           CAST(NULL AS DOUBLE) AS VLR_EUR, year(l_shipdate) AS ANO_INGESTAO, month(l_shipdate) AS MES_INGESTAO
+           CAST(NULL AS DOUBLE) AS VLR_EUR, CAST(year(l_shipdate) AS INTEGER) AS ANO_INGESTAO, CAST(month(l_shipdate) AS INTEGER) AS MES_INGESTAO
     FROM (SELECT l_partkey, l_shipdate, CAST(floor(l_extendedprice) AS BIGINT) AS usd FROM lineitem)
     GROUP BY ALL"""
 
@@ -203,7 +203,7 @@ _RULING_SILVER = f"""
     SELECT sha256(oracle_id || '|' || coalesce(CAST(d AS VARCHAR), '') || '|' || comment) AS ID_ESCLARECIMENTO,
            oracle_id AS ID_ORACLE, CASE emitter WHEN 'wotc' THEN 'Wizards' WHEN 'scryfall' THEN 'Scryfall'
            ELSE {_normalised('emitter')} END AS NME_EMISSOR, d AS DT_PUBLICACAO,
-           {_bracketed("trim(comment, ' ')")} AS DESC_ESCLARECIMENTO, year(d) AS ANO_PUBLICACAO
+           {_bracketed("trim(comment, ' ')")} AS DESC_ESCLARECIMENTO, CAST(year(d) AS INTEGER) AS ANO_PUBLICACAO
     FROM (SELECT *, TRY_CAST(published AS DATE) AS d FROM ({_RULING}))
     GROUP BY ALL"""
 

@@ -22,10 +22,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return round(value, 6)
     if isinstance(value, Decimal):
-        return round(float(value), 6)
+        return float(value)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None)
     return value
