@@ -53,7 +53,7 @@ def land_snapshot(
     date_column: str | None = None,
     cutoff: dt.date | None = None,
     required=(),
-    default_source: str = "scryfall",
+    default_source: str = "unknown",
     run: dict | None = None,
 ) -> DataFrame | None:
     """Write the snapshot's (year, month) folders that this day has not completed yet.

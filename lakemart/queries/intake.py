@@ -317,7 +317,7 @@ def stream_file_ingest(t):
     root = new_path(t.spark, "stream")
     land_snapshot(t.events, root, "events", RUN_TS, date_column="ts")
     store = TableStore(t.spark, f"{root}/bronze")
-    schema = stamp(t.events, "events", RUN_TS, "scryfall").schema
+    schema = stamp(t.events, "events", RUN_TS, "unknown").schema
     for _ in range(2):
         ingest_new_files(store, f"{root}/events", schema, "events", f"{root}/checkpoint", RUN_TS)
     return store.read("events").groupBy("event_type").agg(

@@ -40,8 +40,8 @@ def test_stops_after_ten_hops(spark):
     assert got["n0"] == "n10" and got["n1"] == "n11" and got["n10"] == "n11"
 
 
-@pytest.mark.parametrize("limit", [1, 2, 3, 7, 10])
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("limit", [1, 3, 10])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_random_maps_match_brute_force(spark, seed, limit):
     pick = random.Random(seed)
     edges = {f"n{i}": f"n{pick.randrange(60)}" for i in pick.sample(range(60), 45)}
