@@ -50,8 +50,12 @@ def save_keyed(
         has_order = order_by is not None and order_by in df.columns
         df = dedup_latest(df, keys, order_by) if has_order else dedup_any(df, keys)
 
+    def gate(written: DataFrame) -> None:
+        if keys:
+            check_keys(written, keys, table)
+
     if current is None or not keys or mode == "overwrite":
-        store.overwrite(df, table, partition_by, check=lambda new: keys and check_keys(new, keys, table))
+        store.overwrite(df, table, partition_by, check=gate)
         return
 
     with scratch(store.spark) as cut:
@@ -60,15 +64,17 @@ def save_keyed(
             return
         if on_duplicate == "abort":
             check_batch_keys(batch, keys, table)
+        # The stored rows passed this check when they came in, and an upsert of
+        # unique keys keeps them unique: the history need not be scanned again.
+        check_keys(batch, keys, table)
         diff = compare_fields(field_types(current.schema), field_types(df.schema))
         if not partition_by or any(kind == "retyped" for _, kind, _, _ in diff):
-            store.overwrite(upsert(_retyped(current, batch), batch, keys), table, partition_by)
+            merged = upsert(_retyped(current, batch), batch, keys)
+            store.overwrite(merged, table, partition_by, check=gate)
         else:
             _upsert_partitions(
                 store, table, current, batch, keys, partition_by, key_decides_partition
             )
-    if on_duplicate != "abort":
-        check_keys(store.read(table), keys, table)
 
 
 def _retyped(current: DataFrame, batch: DataFrame) -> DataFrame:

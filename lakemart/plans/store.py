@@ -87,6 +87,12 @@ class TableStore:
     def _publish(self, target: str) -> None:
         self._fs(target).create(self._path(f"{target}/_SUCCESS"), True).close()
 
+    def drop_old_versions(self, table: str, keep: int = 2) -> None:
+        """Remove versions no reader of the last ``keep`` can need."""
+        for version in self._versions(table)[:-keep]:
+            delete(self.spark, f"{self.root}/{table}/v={version}")
+            delete(self.spark, f"{self.root}/{table}/schema-v={version}.json")
+
     def append(self, df: DataFrame, table: str) -> None:
         """Append; columns the table lacks are added to its schema."""
         if not self.exists(table):

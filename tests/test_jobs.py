@@ -210,6 +210,21 @@ def test_abort_on_duplicates_writes_nothing(spark, store):
         assert rows(store.read("t").select("v")) == [("x",)]
 
 
+def test_null_key_in_a_later_batch_leaves_the_table_alone(spark, store):
+    save_keyed(spark.createDataFrame([("a", 1, 1, "x")], KEYED), store, "t", ["id"], "ts", ["y"])
+    with pytest.raises(KeyViolation, match="id of t is NULL in 1"):
+        save_keyed(spark.createDataFrame([(None, 1, 2, "z")], KEYED), store, "t", ["id"], "ts", ["y"])
+    assert rows(store.read("t").select("v")) == [("x",)]
+
+
+def test_old_versions_go(spark, store, tmp_path):
+    for v in "abcd":
+        save_keyed(spark.createDataFrame([("a", 1, 1, v)], KEYED), store, "t")
+    store.drop_old_versions("t", keep=1)
+    assert [p.name for p in (tmp_path / "tables/t").glob("v=*")] == ["v=4"]
+    assert rows(store.read("t").select("v")) == [("d",)]
+
+
 def test_overwrite_without_key_reads_its_own_table(spark, store):
     save_keyed(spark.createDataFrame([("a", 1, 1, "x")], KEYED), store, "t")
     save_keyed(store.read("t").withColumn("v", F.lit("y")), store, "t")
