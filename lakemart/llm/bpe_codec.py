@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.text_segments import Memo, segments
 
 #: Distinct text segments whose ids a worker keeps.
-SEGMENT_LIMIT = 600_000
+SEGMENT_LIMIT = 1_000_000
 #: Pairs of tokens whose compatibility a worker keeps.
 PAIR_LIMIT = 1_000_000
 #: White space as the tokenizer's own pattern library reads it.
@@ -50,15 +51,22 @@ class Codec:
         self._pieces = compile_pattern(pattern)
         self._rank = {token.decode("latin-1"): rank for token, rank in ranks.items()}
         self._token = {rank: token for token, rank in self._rank.items()}
-        self._bytes = {rank: token for token, rank in ranks.items()}
+        tokens = {rank: token for token, rank in ranks.items()}
+        ordered = [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
+        self._table = np.frombuffer(b"".join(ordered), np.uint8)
+        self._sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
+        self._starts = np.cumsum(self._sizes) - self._sizes
         self._automaton = ahocorasick.Automaton()
         for token, rank in self._rank.items():
             self._automaton.add_word(token, rank)
         self._automaton.make_automaton()
+        self._length = [len(self._token.get(rank, "")) for rank in range(max(self._token) + 1)]
         self._shorter: dict[int, int] = {}
         self._fits: dict[tuple[int, int], bool] = {}
         self._spines: tuple[dict, dict] = ({}, {})
-        self._memo = Memo(self._segment_ids, SEGMENT_LIMIT)
+        self._memo = Memo(
+            lambda rest: self._packed([f" {segment}" for segment in rest]), SEGMENT_LIMIT
+        )
 
     def _merged(self, text: str, least: int = 1) -> list[str]:
         """The merges by rank, plainly, down to ``least`` parts; only for single tokens."""
@@ -97,8 +105,6 @@ class Codec:
 
     def _compatible(self, left: int, right: int) -> bool:
         """Whether the merges leave these neighbours as they are; left -1: start of the piece."""
-        if left < 0:
-            return bool(self._spine(right, 0))
         fits = self._fits.get((left, right))
         if fits is None:
             if len(self._fits) >= PAIR_LIMIT:
@@ -108,7 +114,8 @@ class Codec:
 
     def _unmerged(self, left: int, right: int) -> bool:
         """No merge across the border comes before those that take up its two sides."""
-        ends, starts = self._spine(left, 1), self._spine(right, 0)
+        starts = self._spine(right, 0)
+        ends = self._spine(left, 1) if left >= 0 else [("", -1, -1)]
         for end, end_formed, end_taken in ends:
             for start, start_formed, start_taken in starts:
                 # Of merges of equal rank the leftmost is first.
@@ -127,21 +134,21 @@ class Codec:
             shorter = self._shorter[rank] = next((rank for rank in found if rank >= 0), -1)
         return shorter
 
-    def piece_ids(self, piece: str) -> list[int]:
-        """Ids of one match of the pattern, given in Latin-1 characters."""
-        whole = self._rank.get(piece)
-        if whole is not None:
-            return [whole]
-        size, token = len(piece), self._token
+    def _split_ids(self, piece: str) -> list[int]:
+        """Ids of a match of the pattern that is no token, given in Latin-1 characters."""
         # Most often the longest tokens, one after the other, already fit.
-        last, at, ids = -1, 0, []
+        size, at, last, ids = len(piece), 0, -1, []
+        length, fits = self._length, self._fits
         for end, rank in self._automaton.iter_long(piece):
-            if end + 1 - len(token[rank]) != at or not self._compatible(last, rank):
+            at += length[rank]
+            if end + 1 != at or not (fits.get((last, rank)) or self._compatible(last, rank)):
+                at = -1
                 break
             ids.append(rank)
-            last, at = rank, end + 1
+            last = rank
         if at == size:
             return ids
+        token = self._token
         longest = [-1] * (size + 1)
         for end, rank in self._automaton.iter(piece):
             # Matches come by their end, so the last one kept for a start is its longest.
@@ -168,26 +175,37 @@ class Codec:
                 raise ValueError("the rank table lacks single bytes")
         return ids
 
-    def _segment_ids(self, texts: list[str]) -> list[tuple[int, ...]]:
+    def _packed(self, texts: list[str]) -> list[bytes]:
+        """Ids as the bytes of an int32 array: one object for a segment, joined as they are."""
         found = []
         for text in texts:
             ids: list[int] = []
             for piece in self._pieces.findall(text):
                 if not piece.isascii():
                     piece = piece.encode().decode("latin-1")
-                ids += self.piece_ids(piece)
-            found.append(tuple(ids))
+                whole = self._rank.get(piece)
+                if whole is None:
+                    ids += self._split_ids(piece)
+                else:
+                    ids.append(whole)
+            found.append(array("i", ids).tobytes())
         return found
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         first, rest = segments(text)
-        ids = list(self._segment_ids([first])[0])
-        for part in self._memo.of([f" {segment}" for segment in rest]):
-            ids += part
-        return ids
+        packed = [*self._packed([first]), *self._memo.of(rest)]
+        return np.frombuffer(b"".join(packed), np.int32)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self._bytes.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        known = (ids >= 0) & (ids < len(self._sizes))
+        if not known.all() or not (sizes := self._sizes[ids]).all():
+            raise ValueError("ids without a token")
+        ends = np.cumsum(sizes, dtype=np.int64)
+        if not len(ends):
+            return b""
+        # Each byte's place in the table: where its token starts, and how far in it is.
+        shift = self._starts[ids] - (ends - sizes)
+        return self._table[np.repeat(shift, sizes) + np.arange(ends[-1])].tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -202,13 +220,10 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
         codec = _codec(path, pattern)
-        sizes, parts = [0], []
-        for value in texts:
-            ids = codec.encode(value.as_py() or "")
-            sizes.append(len(ids))
-            parts.append(np.array(ids, dtype=np.int32))
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat))
+        found = [codec.encode(value.as_py() or "") for value in texts]
+        offsets = np.cumsum([0, *map(len, found)])
+        flat = np.concatenate([np.zeros(0, np.int32), *found])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
 
     return ids_of(text)
 
@@ -219,6 +234,8 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def bytes_of(lists: pa.Array) -> pa.Array:
         codec = _codec(path, pattern)
-        return pa.array([codec.decode(value.as_py() or []) for value in lists], pa.binary())
+        none = np.zeros(0, np.int32)
+        each = (value.values.to_numpy() if value.is_valid else none for value in lists)
+        return pa.array([codec.decode(ids) for ids in each], pa.binary())
 
     return bytes_of(ids)

@@ -20,7 +20,7 @@ from lakemart.llm.text_segments import Memo, segments
 #: Bytes of text handed to the library at once.
 BATCH_BYTES = 1 << 18
 #: Distinct segments whose counts a worker keeps.
-SEGMENT_LIMIT = 800_000
+SEGMENT_LIMIT = 1_000_000
 #: Texts of at least this many characters that cannot use the memo are cut in parts.
 PART_CHARS = 1 << 16
 
@@ -85,7 +85,7 @@ class Counter:
                 token.lstrip or token.rstrip for token in added
             ):
                 self._by_segment = False
-        self._memo = Memo(self._count, SEGMENT_LIMIT)
+        self._memo = Memo(lambda rest: self._count([f" {segment}" for segment in rest]), SEGMENT_LIMIT)
 
     def _count(self, texts: list[str]) -> list[int]:
         return [n for batch in byte_batches(texts) for n in self._lengths(batch)]
@@ -96,7 +96,7 @@ class Counter:
         if any(atom in text for atom in self._atoms):
             return sum(self._count(safe_parts(text)))
         first, rest = segments(text)
-        return sum(self._memo.of([f" {segment}" for segment in rest])) + self._count([first])[0]
+        return sum(self._memo.of(rest)) + self._count([first])[0]
 
 
 @functools.lru_cache(maxsize=2)
