@@ -1,6 +1,6 @@
 """All registered queries of this subpackage."""
 
-from lakemart.llm import queries_dedup, queries_tokens  # noqa: F401
+from lakemart.llm import queries_dedup, queries_tokens, queries_web  # noqa: F401
 from lakemart.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
