@@ -39,7 +39,7 @@ class Rows:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy()
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+    return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
 def valid_vectors(rows: DataFrame, vector: str) -> DataFrame:
