@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemart.plans.lineage import cut_lineage
+
 WILDCARD = "*"
 #: Segments of a path that the tree resolves; what follows them doesn't part pages.
 DEPTH = 4
@@ -59,21 +61,17 @@ def _templates(pages: DataFrame) -> DataFrame:
     for depth in range(1, DEPTH + 1):
         rows = rows.withColumn("_s", F.get("_segments", F.lit(depth - 1)))
         counts = rows.groupBy(*node, "_s").agg(F.count(F.lit(1)).alias("_n"))
-        within = Window.partitionBy(*node)
-        frequent = counts.withColumn("_of", F.sum("_n").over(within)).where(
-            (F.col("_n") >= MIN_PAGES) & (F.col("_n") >= MIN_SHARE * F.col("_of"))
-        )
-        frequent = frequent.where("_s is not null").select(
-            *(F.col(c).alias(f"_f_{c}") for c in node), F.col("_s").alias("_fs")
-        )
-        same = F.col("_s") == F.col("_fs")
-        for c in node:
-            same &= F.col(c).eqNullSafe(F.col(f"_f_{c}"))
-        rows = rows.join(frequent, same, "left").withColumn(
+        totals = counts.groupBy(*node).agg(F.sum("_n").alias("_of"))
+        # A segment implies those before it, so the keys of these rows aren't NULL.
+        frequent = counts.where((F.col("_n") >= MIN_PAGES) & F.col("_s").isNotNull())
+        frequent = frequent.join(totals, node).where(F.col("_n") >= MIN_SHARE * F.col("_of"))
+        frequent = frequent.select(*node, "_s", F.col("_s").alias("_fs"))
+        rows = rows.join(frequent, [*node, "_s"], "left").withColumn(
             f"t{depth}",
             F.when(F.col("_s").isNotNull(), F.coalesce("_fs", F.lit(WILDCARD))),
         )
-        rows = rows.drop("_s", "_fs", *(f"_f_{c}" for c in node))
+        # Each level is written, or its plan would hold those of all levels above twice.
+        rows = cut_lineage(rows.drop("_s", "_fs"), "templates")
         node = [*node, f"t{depth}"]
     return rows.drop("_segments")
 
