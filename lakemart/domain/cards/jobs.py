@@ -81,12 +81,16 @@ def run_stage(
     and sets by their own release date; rulings and migrations are kept whole.
     """
     cutoff = release_cutoff(run_ts.date(), years_back)
-    if feed == "cards" and raw_sets is not None:
+    if feed == "cards":
+        if raw_sets is None:
+            raise ValueError("cards are kept by the release of their set: raw_sets is needed")
         recent = raw_sets.filter(F.col("released_at") >= cutoff.isoformat())
         raw = window_members(raw, "set", recent, "code")
     dated = feed in ("sets", "card_prices")
 
     def job(run: dict):
+        if feed == "sets":
+            run["rejected_records"] = stage.unparsed_sets(raw)
         return land_snapshot(
             FEEDS[feed](raw),
             stage_root,
@@ -103,11 +107,16 @@ def run_stage(
     return run_logged(ledger, feed, job, run_ts, params, source=sc.SOURCE, empty_fails=True)
 
 
-def run_bronze(bronze: TableStore, stage_root: str, feed: str, load_ts: dt.datetime):
-    return load_new_snapshots(bronze, stage_root, feed, load_ts, documented=sc.bronze_columns(feed))
+def run_bronze(
+    bronze: TableStore, stage_root: str, feed: str, load_ts: dt.datetime, allow_break: bool = False
+):
+    columns = sc.bronze_columns(feed)
+    return load_new_snapshots(bronze, stage_root, feed, load_ts, columns, allow_break)
 
 
-def run_silver(bronze: TableStore, silver_store: TableStore, table: str, as_of: dt.date) -> None:
+def run_silver(
+    bronze: TableStore, silver_store: TableStore, table: str, as_of: dt.date, allow_break: bool = False
+) -> None:
     """Clean and upsert the Bronze rows the table has not seen."""
     spec = TABLES[table]
     stored = silver_store.read_or_none(table)
@@ -126,6 +135,7 @@ def run_silver(bronze: TableStore, silver_store: TableStore, table: str, as_of:
             spec.order_by,
             spec.partition_by,
             documented=spec.columns,
+            allow_break=allow_break,
             key_decides_partition=spec.key_decides_partition,
         )
 

@@ -50,10 +50,19 @@ def cards(raw: DataFrame) -> DataFrame:
     return _project(raw, "cards", columns)
 
 
+def _set_values():
+    return tolerant_cast(F.col("digital"), "boolean"), tolerant_cast(F.col("card_count"), "int")
+
+
+def unparsed_sets(raw: DataFrame) -> int:
+    """Sets with a flag or count that does not parse; it becomes NULL, the run row counts it."""
+    kept = [text.isNotNull() for _, text in _set_values()]
+    return raw.where(kept[0] | kept[1]).count()
+
+
 def sets(raw: DataFrame) -> DataFrame:
     """Flags are parsed as booleans: the text 'false' is false, not merely filled."""
-    online, _ = tolerant_cast(F.col("digital"), "boolean")
-    count, _ = tolerant_cast(F.col("card_count"), "int")
+    (online, _), (count, _) = _set_values()
     columns = _same("code name parent_set_code block icon_svg_uri") | {
         "type": F.col("set_type"),
         "releaseDate": F.col("released_at"),

@@ -7,20 +7,28 @@ from pyspark.sql import functions as F
 
 
 def exact_average(amount: Column) -> Column:
-    """Average over cents: a decimal sum does not depend on the order of the rows."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double") / F.count(amount)
+    """Average over ten decimals, more than prices have: a decimal sum does not depend on
+    the order of the rows, and sub-cent prices count in full."""
+    return F.sum(amount.cast("decimal(28,10)")).cast("double") / F.count(amount)
 
 
 def appreciation(fact: DataFrame, groups: list[str], member: str, time: str, price: str) -> DataFrame:
     """Average change from each member's first to last quote, per group."""
     quotes = fact.filter(F.col(price).isNotNull())
-    ends = quotes.groupBy(*groups, member).agg(
-        F.min_by(price, F.struct(time, price)).alias("first"),
-        F.max_by(price, F.struct(time, price)).alias("last"),
-    )
-    return ends.groupBy(*groups).agg(
+    keys = [*groups, member]
+
+    def end(order: list[Column], sign: int) -> DataFrame:
+        """One quote per member; the limited window keeps few rows for the shuffle."""
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        ranked = quotes.select(*keys, time, price).withColumn("_rank", rank).filter("_rank = 1")
+        return ranked.select(*keys, (sign * F.col(price)).alias("_part"))
+
+    first = end([F.col(time).asc_nulls_first(), F.col(price).asc()], -1)
+    last = end([F.col(time).desc_nulls_last(), F.col(price).desc()], 1)
+    change = first.unionAll(last).groupBy(*keys).agg(F.sum("_part").alias("_change"))
+    return change.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n_members"),
-        exact_average(F.col("last") - F.col("first")).alias("avg_change"),
+        exact_average(F.col("_change")).alias("avg_change"),
     )
 
 

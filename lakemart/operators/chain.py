@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators.skew import spread_join
@@ -10,12 +10,12 @@ from lakemart.operators.skew import spread_join
 
 def latest_edges(events: DataFrame, old: str, new: str, order_by: list[str]) -> DataFrame:
     """One edge (old, new) per old id: the latest by ``order_by``, NULLs losing."""
-    rank = F.struct(*order_by, new)
-    return (
-        events.filter(F.col(old).isNotNull() & F.col(new).isNotNull())
-        .groupBy(F.col(old).alias("old"))
-        .agg(F.max_by(F.col(new), rank).alias("new"))
+    # A window limited to the first row keeps one row per id before the shuffle.
+    latest = Window.partitionBy(old).orderBy(*(F.col(c).desc_nulls_last() for c in [*order_by, new]))
+    ranked = events.filter(F.col(old).isNotNull() & F.col(new).isNotNull()).withColumn(
+        "_rank", F.row_number().over(latest)
     )
+    return ranked.filter("_rank = 1").select(F.col(old).alias("old"), F.col(new).alias("new"))
 
 
 def resolve_chain(edges: DataFrame, max_hops: int = 10) -> DataFrame:

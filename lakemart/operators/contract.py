@@ -124,6 +124,12 @@ def cast_failures(df: DataFrame, contract: StructType) -> DataFrame:
     return _long(df, columns, "column_name", "failures")
 
 
+def retype(df: DataFrame, wanted: StructType, table: str = "table") -> DataFrame:
+    """``df`` with the types that its columns have in ``wanted``; raises rather than lose values."""
+    fields = {f.name: f for f in wanted.fields}
+    return conform_batch(df, StructType([fields.get(f.name, f) for f in df.schema.fields]), table)
+
+
 def conform_batch(df: DataFrame, contract: StructType, table: str = "batch") -> DataFrame:
     """``conform``, but raise when a cast would lose values, saying how many."""
     broken = [r for r in cast_failures(df, contract).collect() if r.failures]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators.skew import hot_keys, spread_join
@@ -36,8 +36,9 @@ def child_summary(children: DataFrame, parent: str, date: str, count_as: str, la
 
 def latest_event(events: DataFrame, key: str, order_by: list[str], take: list[str]) -> DataFrame:
     """The newest event per key, ties by the later ``order_by`` columns."""
-    newest = F.max_by(F.struct(*take), F.struct(*order_by, *take))
-    return events.groupBy(key).agg(newest.alias("_e")).select(key, *[f"_e.{c}" for c in take])
+    newest = Window.partitionBy(key).orderBy(*(F.col(c).desc_nulls_last() for c in [*order_by, *take]))
+    ranked = events.withColumn("_rank", F.row_number().over(newest))
+    return ranked.filter("_rank = 1").select(key, *take)
 
 
 def build_dim(driver: DataFrame, lookups: list[Lookup]) -> DataFrame:
@@ -76,8 +77,13 @@ def build_fact(quotes: DataFrame, dim: DataFrame, key: str, hot: list | None = N
 
 
 def changed_ids(fresh: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Ids of new or altered members; deleted ones do not show."""
-    return fresh.exceptAll(stored.select(*fresh.columns)).select(key).distinct()
+    """Ids of new or altered members; deleted ones do not show. Ids are unique in both."""
+    old = stored.select(*(F.col(c).alias(f"_old_{c}") for c in fresh.columns), F.lit(True).alias("_known"))
+    same = F.col("_known").isNotNull()
+    for c in fresh.columns:
+        same &= F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    joined = fresh.join(old, F.col(key).eqNullSafe(F.col(f"_old_{key}")), "left")
+    return joined.filter(~same).select(key)
 
 
 def incremental_slice(

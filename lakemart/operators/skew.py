@@ -10,19 +10,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
 
 # A key is hot from this share of the rows on, so there are at most 1 / share of them.
 HOT_SHARE = 1 / 64
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """All keys holding more than ``share`` of the rows, perhaps with a few others.
+    """The keys holding more than ``share`` of the rows; None is one if NULLs do.
 
-    One scan of the key column keeping at most ``1 / share`` counters per task.
+    A scan of the key column keeps at most ``1 / share`` counters per task and finds all
+    of them with some others; a second one counts what it has found.
     """
     found = df.select(key).freqItems([key], share).first()[0]
-    return [value for value in found if value is not None]
+    known = [value for value in found if value is not None]
+    candidate = F.col(key).isin(*known) if known else F.lit(False)
+    kind = F.when(F.col(key).isNull(), 0).when(candidate, 1).otherwise(2).alias("_kind")
+    value = F.when(candidate, F.col(key)).alias("_value")
+    counts = df.groupBy(kind, value).count().collect()
+    total = sum(row["count"] for row in counts)
+    return [row["_value"] for row in counts if row["_kind"] < 2 and row["count"] > share * total]
 
 
 def spread_join(
@@ -30,23 +36,26 @@ def spread_join(
 ) -> DataFrame:
     """Equi join of ``many`` with ``one``, which has at most one row per key.
 
-    Rows of hot keys are salted over all shuffle partitions and the few matching
-    rows of ``one`` repeated for every salt; NULL keys, which match nothing, are
-    spread too. The result does not depend on which keys are found hot. ``how`` is
+    Rows of hot keys are salted over all shuffle partitions, by the hash of their other
+    columns, and the few matching rows of ``one`` repeated for every salt. Without hot
+    keys it is a plain join. The result does not depend on which keys are found hot. ``how`` is
     inner, left, left_semi or left_anti; ``one_key`` stays in the result of the
     first two.
     """
     if hot is None:
         hot = hot_keys(many, many_key)
-    if not hot and how in ("inner", "left_semi"):
+    if not hot:
         return many.join(one, F.col(many_key) == F.col(one_key), how)
     salts = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    atomic = [f.name for f in many.schema.fields if isinstance(f.dataType, AtomicType)]
-    rest = [c for c in atomic if c != many_key] or [many_key]
-    spread = F.col(many_key).isNull() | F.col(many_key).isin(*hot)
+    hashable = [f.name for f in many.schema.fields if "map<" not in f.dataType.simpleString()]
+    rest = [c for c in hashable if c != many_key] or [many_key]
+    values = [value for value in hot if value is not None]
+    spread = F.col(many_key).isin(*values) if values else F.lit(False)
+    if None in hot:
+        spread |= F.col(many_key).isNull()
     salt = F.when(spread, F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")).otherwise(0)
     repeated = F.when(
-        F.col(one_key).isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))
+        F.col(one_key).isin(*values) if values else F.lit(False), F.sequence(F.lit(0), F.lit(salts - 1))
     ).otherwise(F.array(F.lit(0)))
     left = many.withColumn("_salt", salt)
     right = one.withColumn("_salt_of_one", F.explode(repeated))

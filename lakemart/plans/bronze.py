@@ -39,7 +39,8 @@ def load_new_snapshots(
     """
 
     def job(run: dict):
-        listed = list_snapshots(store.spark, f"{stage_root}/{table}")
+        # A folder without its marker is half written: it is loaded when it is whole.
+        listed = list_snapshots(store.spark, f"{stage_root}/{table}").where("complete")
         current = store.read_or_none(table)
         fresh = listed if current is None else new_snapshots(listed, current)
         paths = sorted(r.path for r in fresh.collect())
@@ -52,7 +53,7 @@ def load_new_snapshots(
             table, current.schema if current is not None else None, batch.schema, documented, allow_break
         )
         loaded = RowCount()
-        store.append(loaded.on(batch), table)
+        store.append(loaded.on(batch), table, allow_break)
         run["records_read"] = run["records_written"] = loaded.value
         return batch
 

@@ -6,9 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from lakemart.operators.contract import check_contract, compare_fields, conform, field_types
+from lakemart.operators.contract import check_contract, compare_fields, field_types, retype
 from lakemart.operators.keyed import (
     check_batch_keys,
     check_keys,
@@ -44,6 +43,8 @@ def save_keyed(
     own partitions; otherwise a row may move and the old one is searched for.
     """
     keys, partition_by = list(keys), list(partition_by)
+    if store.exists(table):
+        store.recover(table)
     current = store.read_or_none(table)
     check_contract(table, current.schema if current is not None else None, df.schema, documented, allow_break)
     if keys and on_duplicate == "latest":
@@ -69,7 +70,8 @@ def save_keyed(
         check_keys(batch, keys, table)
         diff = compare_fields(field_types(current.schema), field_types(df.schema))
         if not partition_by or any(kind == "retyped" for _, kind, _, _ in diff):
-            merged = upsert(_retyped(current, batch), batch, keys)
+            # The stored rows take the batch's types where an allowed break changed them.
+            merged = upsert(retype(current, batch.schema, table), batch, keys)
             store.overwrite(merged, table, partition_by, check=gate)
         else:
             _upsert_partitions(
@@ -77,12 +79,6 @@ def save_keyed(
             )
 
 
-def _retyped(current: DataFrame, batch: DataFrame) -> DataFrame:
-    """The stored rows with the batch's types where an allowed break changed them."""
-    wanted = {f.name: f for f in batch.schema.fields}
-    return conform(current, StructType([wanted.get(f.name, f) for f in current.schema.fields]))
-
-
 def _upsert_partitions(store, table, current, batch, keys, partition_by, key_decides_partition):
     """Rewrite only the partitions holding replaced rows or receiving new ones."""
     own = batch.select(*partition_by).distinct()

@@ -117,5 +117,5 @@ def audit_run(store: TableStore, table: str, clock=utc_now):
             audit.status = FAILED
         raise
     finally:
-        row = audit.row(started, clock())
-        store.append(store.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1), AUDIT_TABLE)
+        # Quietly, so that a run's own exception is the one that is seen.
+        _append_quietly(store, AUDIT_TABLE, AUDIT_SCHEMA, audit.row(started, clock()))

@@ -11,13 +11,15 @@ and columns that old files lack come back as NULL.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakemart.plans.lineage import delete, new_path
+from lakemart.operators.contract import ContractViolation, compare_fields, field_types, retype
+from lakemart.plans.lineage import delete
 
 
 @dataclass(frozen=True)
@@ -60,7 +62,7 @@ class TableStore:
         return StructType.fromJson(self._read_json(f"{self.root}/{table}/schema-{version}.json"))
 
     def read(self, table: str) -> DataFrame:
-        self._finish_replacement(table)
+        """The published rows. Readers never write: an interrupted replacement waits for ``recover``."""
         return self.spark.read.schema(self.schema(table)).parquet(self.location(table))
 
     def read_or_none(self, table: str) -> DataFrame | None:
@@ -83,6 +85,7 @@ class TableStore:
         if check is not None:
             check(self.spark.read.schema(df.schema).parquet(target))
         self._publish(target)
+        self.drop_old_versions(table)
 
     def _publish(self, target: str) -> None:
         self._fs(target).create(self._path(f"{target}/_SUCCESS"), True).close()
@@ -93,10 +96,22 @@ class TableStore:
             delete(self.spark, f"{self.root}/{table}/v={version}")
             delete(self.spark, f"{self.root}/{table}/schema-v={version}.json")
 
-    def append(self, df: DataFrame, table: str) -> None:
-        """Append; columns the table lacks are added to its schema."""
+    def append(self, df: DataFrame, table: str, allow_break: bool = False) -> None:
+        """Append; columns the table lacks are added to its schema.
+
+        Files of one table have one type per column. A batch with another type raises;
+        with ``allow_break`` the stored rows are cast to it, none of them losing a value,
+        and written anew together with the batch.
+        """
         if not self.exists(table):
             return self.overwrite(df, table)
+        diff = compare_fields(field_types(self.schema(table)), field_types(df.schema))
+        retyped = [name for name, kind, _, _ in diff if kind == "retyped"]
+        if retyped and not allow_break:
+            raise ContractViolation(f"{table}: an append cannot retype {', '.join(retyped)}")
+        if retyped:
+            stored = retype(self.read(table), df.schema, table)
+            return self.overwrite(stored.unionByName(df, allowMissingColumns=True), table)
         self._add_columns(table, df.schema)
         df.write.mode("append").parquet(self.location(table))
 
@@ -117,7 +132,8 @@ class TableStore:
         ``touched`` lists the old (partition values, ``_folder``) rows; a folder
         whose partition is absent from ``df`` is removed.
         """
-        staged = new_path(self.spark, f"stage-{table}")
+        # Inside the table's folder: what recovery needs must live as long as the table.
+        staged = f"{self.root}/{table}/stage-{uuid.uuid4().hex}"
         gathered(df, partition_by).write.partitionBy(*partition_by).parquet(staged)
         present = {
             tuple(r)
@@ -132,9 +148,10 @@ class TableStore:
         self._write_json(
             f"{self.root}/{table}/replacing.json", intent | {"schema": df.schema.jsonValue()}
         )
-        self._finish_replacement(table)
+        self.recover(table)
 
-    def _finish_replacement(self, table: str) -> None:
+    def recover(self, table: str) -> None:
+        """Finish a replacement that was interrupted; for the one writer of the table."""
         marker = f"{self.root}/{table}/replacing.json"
         intent = self._read_json(marker)
         if intent is None:
@@ -143,8 +160,8 @@ class TableStore:
         staged = self.spark.read.schema(schema).parquet(intent["staged"])
         self._add_columns(table, schema)
         (
-            gathered(staged, intent["by"])
-            .write.mode("overwrite")
+            # Staged files already hold the rows of one partition each.
+            staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*intent["by"])
             .parquet(self.location(table))

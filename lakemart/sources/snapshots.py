@@ -11,20 +11,20 @@ SNAPSHOT_SCHEMA = "path string, complete boolean"
 
 
 def list_snapshots(spark: SparkSession, base: str) -> DataFrame:
-    """(path, complete) of the ``.parquet`` folders holding at least one part file.
+    """(path, complete) of the ``.parquet`` folders; ``complete`` once they hold ``_SUCCESS``.
 
-    Folders without part files are unfinished writes. The list grows with
-    snapshots, not rows: one directory listing, no data is read.
+    The list grows with snapshots: folders and their markers are listed, never their
+    part files, and no data is read.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
 
-    def names(pattern: str) -> set[str]:
+    def found(pattern: str) -> list:
         path = jvm.org.apache.hadoop.fs.Path(f"{base}/{pattern}")
-        found = path.getFileSystem(conf).globStatus(path) or []
-        return {f.getPath().getParent().toString() for f in found}
+        return path.getFileSystem(conf).globStatus(path) or []
 
-    done = names("*.parquet/_SUCCESS")
-    rows = [(p, p in done) for p in sorted(names("*.parquet/*.parquet"))]
+    done = {f.getPath().getParent().toString() for f in found("*.parquet/_SUCCESS")}
+    folders = sorted(f.getPath().toString() for f in found("*.parquet") if f.isDirectory())
+    rows = [(p, p in done) for p in folders]
     return spark.createDataFrame(rows, SNAPSHOT_SCHEMA)
 
 

@@ -14,7 +14,7 @@ from lakemart.plans.keyed_save import save_keyed
 from lakemart.plans.landing import land_snapshot
 from lakemart.plans.runlog import run_logged
 from lakemart.plans.store import TableStore
-from lakemart.sources.json_source import scan_jsonl, scan_pages
+from lakemart.sources.json_source import rejected_lines, scan_jsonl, scan_pages
 from lakemart.sources.snapshots import list_snapshots
 from lakemart.streaming.file_ingest import ingest_new_files
 
@@ -87,7 +87,7 @@ def test_listing_ignores_unfinished_folders(spark, tmp_path):
             (base / name / file).touch()
     (base / "_SUCCESS").touch()
     found = {pathlib.Path(r.path).name: r.complete for r in list_snapshots(spark, str(base)).collect()}
-    assert found == {"x.parquet": True, "z.parquet": False}
+    assert found == {"x.parquet": True, "y.parquet": False, "z.parquet": False}
 
 
 def test_loaded_files_are_not_new(spark):
@@ -179,14 +179,17 @@ def test_null_partition_and_null_key_part(spark, store):
     assert rows(store.read("t").select("id", "y")) == [("a", 2020), ("b", 2024)]
 
 
-def test_interrupted_replacement_is_finished_on_next_read(spark, store, monkeypatch):
+def test_interrupted_replacement_is_finished_by_the_next_writer(spark, store, monkeypatch):
     first = spark.createDataFrame([("a", 2024, 1, "old"), ("b", 2023, 1, "old")], KEYED)
     save_keyed(first, store, "t", ["id"], "ts", ["y"])
-    finish = TableStore._finish_replacement
-    monkeypatch.setattr(TableStore, "_finish_replacement", lambda self, table: None)
+    finish = TableStore.recover
+    monkeypatch.setattr(TableStore, "recover", lambda self, table: None)
     save_keyed(spark.createDataFrame([("a", 2023, 2, "new")], KEYED), store, "t", ["id"], "ts", ["y"])
+    monkeypatch.setattr(TableStore, "recover", finish)
+    # Readers see the published rows and leave the pending replacement alone.
     assert {r.v for r in store.read("t").collect()} == {"old"}
-    monkeypatch.setattr(TableStore, "_finish_replacement", finish)
+    assert (pathlib.Path(store.root) / "t/replacing.json").exists()
+    save_keyed(spark.createDataFrame([], KEYED), store, "t", ["id"], "ts", ["y"])
     assert rows(store.read("t").select("id", "y", "v")) == [("a", 2023, "new"), ("b", 2023, "old")]
 
 
@@ -241,8 +244,89 @@ def test_contract_guards_saves_and_new_columns_come_in(spark, store):
     typed = spark.createDataFrame([("b", 1, 2, 7, 5)], KEYED.replace("v string", "v int") + ", n int")
     with pytest.raises(ContractViolation, match="retyped v"):
         save_keyed(typed, store, "t", ["id"], "ts", ["y"])
+    with pytest.raises(ContractViolation, match="v=2"):
+        save_keyed(typed, store, "t", ["id"], "ts", ["y"], allow_break=True)
+    assert {r.id: r.v for r in store.read("t").collect()} == {"a": "x", "b": "x"}
+    digits = spark.createDataFrame([("a", 1, 1, "4", 0), ("b", 1, 1, "5", 0)], KEYED + ", n int")
+    save_keyed(digits, store, "t", ["id"], "ts", ["y"])
     save_keyed(typed, store, "t", ["id"], "ts", ["y"], allow_break=True)
-    assert {r.id: r.v for r in store.read("t").collect()} == {"a": None, "b": 7}
+    assert {r.id: r.v for r in store.read("t").collect()} == {"a": 4, "b": 7}
+
+
+def test_appends_keep_the_types_of_a_table(spark, store):
+    store.append(spark.createDataFrame([(1, 5)], "id int, v int"), "t")
+    text = spark.createDataFrame([(2, "x")], "id int, v string")
+    with pytest.raises(ContractViolation, match="retype v"):
+        store.append(text, "t")
+    assert rows(store.read("t")) == [(1, 5)]
+    store.append(text, "t", allow_break=True)
+    assert rows(store.read("t")) == [(1, "5"), (2, "x")]
+    with pytest.raises(ContractViolation, match="v=1"):
+        store.append(spark.createDataFrame([(3, 7)], "id int, v int"), "t", allow_break=True)
+
+
+def half_written(spark, base):
+    """One snapshot of three rows whose write broke off after one of them."""
+    df = prices(spark, [(i, "2021-03-01", "1") for i in "abc"])
+    land_snapshot(df, base, "p", DAY, date_column="releaseDate")
+    folder = pathlib.Path(base) / "p/snapshot=2021_03_20260905_p.parquet"
+    landed = spark.read.parquet(str(folder))
+    schema, first = landed.schema, landed.take(1)
+    for file in folder.iterdir():
+        file.unlink()
+    spark.createDataFrame(first, schema).write.mode("append").parquet(str(folder))
+    for marker in folder.glob("*_SUCCESS*"):
+        marker.unlink()
+    return df, schema
+
+
+def test_half_written_snapshots_wait_until_they_are_whole(spark, tmp_path, store):
+    base = str(tmp_path / "stage")
+    df, schema = half_written(spark, base)
+    nothing, run = load_new_snapshots(store, base, "p", DAY)
+    assert nothing is None and run["files_processed"] == 0
+    ingest_new_files(store, f"{base}/p", schema, "s", str(tmp_path / "check"), DAY)
+    assert not store.exists("s")
+    land_snapshot(df, base, "p", DAY, date_column="releaseDate")
+    for _ in range(2):
+        load_new_snapshots(store, base, "p", DAY)
+        ingest_new_files(store, f"{base}/p", schema, "s", str(tmp_path / "check"), DAY)
+    assert store.read("p").count() == store.read("s").count() == 3
+
+
+@pytest.mark.parametrize("feed", ["cards", "sets", "card_prices", "rulings", "migrations"])
+def test_a_broken_line_fails_the_run(spark, tmp_path, store, feed):
+    from lakemart.domain.cards import jobs, schemas
+
+    schema = getattr(schemas, {"cards": "RAW_CARD", "card_prices": "RAW_CARD", "sets": "RAW_SET",
+                               "rulings": "RAW_RULING", "migrations": "RAW_MIGRATION"}[feed])
+    lines = tmp_path / "feed.jsonl"
+    lines.write_text('{"id": "a", "released_at": "2026-01-01", "set": "s", "code": "s"}\n{"id": "b", "rel\n')
+    sets = tmp_path / "sets.jsonl"
+    sets.write_text('{"code": "s", "released_at": "2026-01-01"}\n')
+    raw_sets = scan_jsonl(spark, str(sets), schemas.RAW_SET)
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        jobs.run_stage(scan_jsonl(spark, str(lines), schema), feed, store, str(tmp_path / "stage"), DAY,
+                       raw_sets=raw_sets)
+    assert not list((tmp_path / "stage").rglob("*.parquet")) if (tmp_path / "stage").exists() else True
+    assert [r.status for r in store.read("run_log").collect()] == ["FAILED"]
+
+
+def test_a_truncated_page_fails_and_pages_have_numbers(spark, tmp_path):
+    schema = spark.createDataFrame([], "id int").schema
+    for page in (2, 10, 1):
+        (tmp_path / f"page-{page}.json").write_text('{"data": [{"id": %d}]}' % page)
+    pages = scan_pages(spark, str(tmp_path), schema)
+    assert [r.id for r in pages.orderBy("_page", "_position").collect()] == [1, 2, 10]
+    (tmp_path / "page-3.json").write_text('{"data": [{"id": 3}, {"id"')
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        scan_pages(spark, str(tmp_path), schema).collect()
+
+
+def test_rejected_lines(spark):
+    schema = spark.createDataFrame([], "id int").schema
+    text = spark.createDataFrame([('{"id": 1}',), ('{"id"',), (" ",), (None,)], "line string")
+    assert [r.line for r in rejected_lines(text, "line", schema).collect()] == ['{"id"']
 
 
 def test_stream_takes_each_file_once(spark, tmp_path, store):
