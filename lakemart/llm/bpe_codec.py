@@ -12,7 +12,6 @@ nothing is never tried again, so the work is linear in the length of a piece.
 from __future__ import annotations
 
 import base64
-import functools
 from array import array
 
 import ahocorasick
@@ -22,12 +21,12 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakemart.llm.text_segments import Memo, segments
+from lakemart.llm.text_segments import Memo, held, segments
 
 #: Distinct text segments whose ids a worker keeps.
-SEGMENT_LIMIT = 1_000_000
+SEGMENT_LIMIT = 500_000
 #: Pairs of tokens whose compatibility a worker keeps.
-PAIR_LIMIT = 1_000_000
+PAIR_LIMIT = 500_000
 #: White space as the tokenizer's own pattern library reads it.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 
@@ -208,10 +207,14 @@ class Codec:
         return self._table[np.repeat(shift, sizes) + np.arange(ends[-1])].tobytes()
 
 
-@functools.lru_cache(maxsize=2)
 def _codec(path: str, pattern: str) -> Codec:
-    """One codec per worker process."""
-    return Codec(read_ranks(path), pattern)
+    return held(("codec", path, pattern), lambda: Codec(read_ranks(path), pattern))
+
+
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, found)])
+    flat = np.concatenate([np.zeros(0, np.int32), *found])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
@@ -220,14 +223,25 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
         codec = _codec(path, pattern)
-        found = [codec.encode(value.as_py() or "") for value in texts]
-        offsets = np.cumsum([0, *map(len, found)])
-        flat = np.concatenate([np.zeros(0, np.int32), *found])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+        return _lists([codec.encode(value.as_py() or "") for value in texts])
 
     return ids_of(text)
 
 
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """Struct of the ids of a text and ``decoded``, the bytes of those ids, in one pass."""
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def there_and_back(texts: pa.Array) -> pa.Array:
+        codec = _codec(path, pattern)
+        found = [codec.encode(value.as_py() or "") for value in texts]
+        decoded = pa.array([codec.decode(ids) for ids in found], pa.binary())
+        return pa.StructArray.from_arrays([_lists(found), decoded], fields=list(kind))
+
+    return there_and_back(text)
+
+
 def decode(ids: Column, path: str, pattern: str) -> Column:
     """Bytes that token ids stand for; NULL ids give no bytes. Unknown ids raise."""
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm.bpe_codec import decode, encode
+from lakemart.llm.bpe_codec import round_trip
 from lakemart.llm.registry import query, table
 from lakemart.llm.token_counts import token_count
 
@@ -15,20 +15,14 @@ COUNTED = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
 
 
-def round_trip(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with token_ids and decoded (binary), the bytes these ids stand for."""
-    how = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = docs.withColumn("token_ids", encode(F.col(text), *how))
-    return encoded.withColumn("decoded", decode(F.col("token_ids"), *how))
-
-
 def digests(docs: DataFrame) -> DataFrame:
-    joined = F.array_join(F.col("token_ids").cast("array<string>"), " ")
-    return round_trip(docs).select(
+    found = round_trip(F.col("text"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    joined = F.array_join(F.col("_found.ids").cast("array<string>"), " ")
+    return docs.withColumn("_found", found).select(
         "doc_id",
-        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.size("_found.ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("_found.decoded", 256).alias("decoded_sha256"),
     )
 
 

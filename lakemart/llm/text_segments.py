@@ -26,6 +26,22 @@ def segments(text: str) -> tuple[str, list[str]]:
     return parts[0], parts[1:]
 
 
+_HELD: list = []
+
+
+def held(key, make: Callable):
+    """The object of this worker process for ``key``; only the last one is kept.
+
+    Worker processes outlive stages, and objects with a memo are large: one of an
+    earlier stage must not stay beside that of the present one. ``key`` is compared by
+    equality and kept alive.
+    """
+    if not _HELD or _HELD[0] != key:
+        _HELD.clear()
+        _HELD.extend((key, make()))
+    return _HELD[1]
+
+
 class Memo:
     """Values by key, computed in batches when missing, at most ``limit`` of them kept.
 

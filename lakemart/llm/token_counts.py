@@ -7,7 +7,6 @@ counts leave the Python worker.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 
@@ -15,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakemart.llm.text_segments import Memo, segments
+from lakemart.llm.text_segments import Memo, held, segments
 
 #: Bytes of text handed to the library at once.
 BATCH_BYTES = 1 << 18
@@ -99,10 +98,8 @@ class Counter:
         return sum(self._memo.of(rest)) + self._count([first])[0]
 
 
-@functools.lru_cache(maxsize=2)
 def _counter(path: str) -> Counter:
-    """One tokenizer per worker process."""
-    return Counter(path)
+    return held(("counter", path), lambda: Counter(path))
 
 
 def token_count(text: Column, path: str) -> Column:

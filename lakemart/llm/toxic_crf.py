@@ -13,15 +13,16 @@ Training reads a bounded sample of labelled documents; scoring reads all whole t
 
 from __future__ import annotations
 
+import uuid
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.text_segments import Memo
+from lakemart.llm.text_segments import Memo, held
 from lakemart.plans.lineage import cut_lineage
 
 #: Labelled documents of each class that the model is fitted on, at most.
@@ -38,7 +39,7 @@ NEAR_SEEDS = 4
 ANYWHERE = 3
 ROUNDS = 60
 #: Words whose potentials a worker keeps.
-WORD_LIMIT = 800_000
+WORD_LIMIT = 400_000
 FLOOR = -25.0
 _EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
 
@@ -56,6 +57,8 @@ class Model:
     transitions: np.ndarray
     slope: float
     intercept: float
+    #: Tells fitted models apart.
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def _log_odds(emission: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -299,17 +302,6 @@ class _Scorer:
         return np.split(found, np.cumsum(lengths)[:-1])
 
 
-_KEPT: dict[int, tuple[Model, _Scorer]] = {}
-
-
-def _scorer(model: Model) -> _Scorer:
-    """The words' potentials survive from one batch of a task to the next."""
-    if id(model) not in _KEPT or _KEPT[id(model)][0] is not model:
-        _KEPT.clear()
-        _KEPT[id(model)] = model, _Scorer(model)
-    return _KEPT[id(model)][1]
-
-
 def _spans(text: str, odds: np.ndarray) -> list[dict]:
     """Runs of tokens that are rather toxic than not, in characters of the text."""
     likely = odds > 0
@@ -345,10 +337,12 @@ def toxicity(text: Column, model: Model) -> Column:
         " spans array<struct<start: int, end: int, log_odds: double>>"
     )
     def score(texts: pa.Array) -> pa.Array:
-        scorer, rows, held, size = _scorer(model), [], [], 0
+        # The words' potentials outlive the batches of a task and the tasks of a worker.
+        scorer = held(("toxicity", model.key), lambda: _Scorer(model))
+        rows, waiting, size = [], [], 0
 
         def flush():
-            for one, odds in zip(held, scorer.odds(held)):
+            for one, odds in zip(waiting, scorer.odds(waiting)):
                 top = float(max(odds.max(), FLOOR)) if len(odds) else FLOOR
                 scale = np.clip(model.slope * top + model.intercept, -700, 700)
                 rows.append(
@@ -358,11 +352,11 @@ def toxicity(text: Column, model: Model) -> Column:
                         "spans": _spans(one, odds) if top > 0 else [],
                     }
                 )
-            held.clear()
+            waiting.clear()
 
         for value in texts:
-            held.append(value.as_py() or "")
-            size += len(held[-1])
+            waiting.append(value.as_py() or "")
+            size += len(waiting[-1])
             if size > BATCH_CHARS:
                 flush()
                 size = 0
