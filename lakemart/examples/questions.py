@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def exact_average(amount: Column) -> Column:
-    """Average over ten decimals, more than prices have: a decimal sum does not depend on
+    """Average over six decimals, more than prices have: a decimal sum does not depend on
     the order of the rows, and sub-cent prices count in full."""
-    return F.sum(amount.cast("decimal(28,10)")).cast("double") / F.count(amount)
+    return F.sum(amount.cast("decimal(28,6)")).cast("double") / F.count(amount)
 
 
 def appreciation(fact: DataFrame, groups: list[str], member: str, time: str, price: str) -> DataFrame:

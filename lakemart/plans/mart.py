@@ -31,6 +31,8 @@ class MartSpec:
     assemble: Callable[[DataFrame, DataFrame, list | None], DataFrame]
     dim_columns: list[str] | None = None
     fact_columns: list[str] | None = None
+    # What tells a member's quotes of one time apart, if anything does.
+    keys: tuple[str, ...] = ()
 
 
 def may_increment(rebuild: bool, fact_exists: bool, stored_dim: list[str] | None, fresh_dim: list[str]) -> bool:
@@ -70,7 +72,7 @@ def refresh_mart(
             fact,
             store,
             spec.fact_table,
-            keys=[spec.key, spec.fact_time],
+            keys=[spec.key, spec.fact_time, *spec.keys],
             partition_by=spec.fact_partitions,
             documented=spec.fact_columns,
             on_duplicate="abort",

@@ -286,7 +286,7 @@ def audit_summary(t):
              arg_min(o_totalprice, (o_orderdate, o_totalprice)) AS first,
              arg_max(o_totalprice, (o_orderdate, o_totalprice)) AS last FROM fact GROUP BY ALL)
         SELECT nation, c_mktsegment, count(*) AS n_members,
-               CAST(sum(CAST(last - first AS DECIMAL(28, 10))) AS DOUBLE) / count(*) AS avg_change
+               CAST(sum(CAST(last - first AS DECIMAL(28, 6))) AS DOUBLE) / count(*) AS avg_change
         FROM m GROUP BY ALL""",
 )
 def appreciation(t):
@@ -298,7 +298,7 @@ def appreciation(t):
 @query(
     "price_trend",
     """WITH m AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, 
-                         CAST(sum(CAST(o_totalprice AS DECIMAL(28, 10))) AS DOUBLE) / count(*) AS a
+                         CAST(sum(CAST(o_totalprice AS DECIMAL(28, 6))) AS DOUBLE) / count(*) AS a
                   FROM orders GROUP BY ALL)
        SELECT year, month, a AS avg_price, a - lag(a) OVER (ORDER BY year, month) AS change
        FROM m""",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.chain import attach_canonical, latest_edges, resolve_chain
-from lakemart.operators.contract import cast_failures, conform, schema_diff
+from lakemart.operators.contract import cast_failures, conform, conform_batch, schema_diff
 from lakemart.operators.keyed import (
     dedup_any,
     dedup_latest,
@@ -198,6 +198,19 @@ _CONTRACT = "p_partkey bigint, size int, code bigint, name string, origin string
 
 @query(
     "conform_batch",
+    """SELECT p_partkey, p_size AS size, p_partkey AS code, p_name AS name,
+              CAST(NULL AS VARCHAR) AS origin FROM part""",
+)
+def conform_batch_query(t):
+    """A batch of texts that all cast."""
+    part = t.part.selectExpr(
+        "p_partkey", "CAST(p_size AS STRING) AS size", "CAST(p_partkey AS STRING) AS code", "p_name AS name"
+    )
+    return conform_batch(part, StructType.fromDDL(_CONTRACT), "part")
+
+
+@query(
+    "conform",
     f"""SELECT p_partkey, TRY_CAST(size AS INTEGER) AS size, TRY_CAST(code AS BIGINT) AS code, name,
                CAST(NULL AS VARCHAR) AS origin FROM {_PART_TEXT.format(text='VARCHAR')}""",
 )
