@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.merkle import audit
 from lakemart.llm.registry import query, table
-from lakemart.llm.url_templates import PURITY, listed_rule, template_verdicts, url_parts
+from lakemart.llm.url_templates import (
+    DEPTH,
+    DIFFERENCE,
+    MIN_PAGES,
+    MIN_SHARE,
+    PURITY,
+    SMOOTHING,
+    WILDCARD,
+    listed_rule,
+    template_verdicts,
+    url_parts,
+)
 
 # The listed rules.
 RULES = [
@@ -77,7 +88,72 @@ def warc_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnsRenamed({"key": "page_id", "offset": "warc_offset"})
 
 
-@query("op7_url_templates")
+def _template_sql() -> str:
+    """The same tree level by level, as common table expressions."""
+    parts, node = [], ["host"]
+    for d in range(1, DEPTH + 1):
+        keys, seg = ", ".join(node), f"seg[{d}]"
+        same = " AND ".join(f"r{d - 1}.{c} = f{d}.{c}" for c in node)
+        parts += [
+            f"c{d} AS (SELECT {keys}, {seg} AS s, count(*) AS n FROM r{d - 1} GROUP BY ALL)",
+            f"""f{d} AS (SELECT {keys}, s FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}) AS of_n FROM c{d})
+                WHERE s IS NOT NULL AND n >= {MIN_PAGES} AND n >= {MIN_SHARE} * of_n)""",
+            f"""r{d} AS (SELECT r{d - 1}.*, CASE WHEN {seg} IS NOT NULL THEN coalesce(f{d}.s, '{WILDCARD}') END AS t{d}
+                FROM r{d - 1} LEFT JOIN f{d} ON {same} AND {seg} = f{d}.s)""",
+        ]
+        node.append(f"t{d}")
+    copies = ", ".join(f"t{d} AS m{d}" for d in range(1, DEPTH + 1))
+    parts.append(
+        f"""s{DEPTH + 1} AS (SELECT {', '.join(node)}, {copies}, count(good)::DOUBLE AS labelled,
+            coalesce(sum(good), 0.0) AS g FROM r{DEPTH} GROUP BY ALL)"""
+    )
+    for d in range(DEPTH, 0, -1):
+        above = ", ".join(["host", *(f"m{i}" for i in range(1, d))])
+        parts.append(
+            f"""s{d} AS (SELECT * EXCLUDE (n, b, o, a) REPLACE (CASE WHEN m{d} IS NULL OR coalesce(
+                    abs(b / n - (a - b) / o) > {DIFFERENCE} * sqrt(a / (n + o) * (1 - a / (n + o)) * (1 / n + 1 / o)),
+                    false) THEN m{d} ELSE '{WILDCARD}' END AS m{d})
+                FROM (SELECT *, nullif(sum(labelled) OVER (PARTITION BY {above}, m{d}), 0) AS n,
+                             sum(g) OVER (PARTITION BY {above}, m{d}) AS b,
+                             nullif(sum(labelled) OVER (PARTITION BY {above})
+                                    - sum(labelled) OVER (PARTITION BY {above}, m{d}), 0) AS o,
+                             sum(g) OVER (PARTITION BY {above}) AS a FROM s{d + 1}))"""
+        )
+    branch = ", ".join(["host", *(f"m{d}" for d in range(1, DEPTH + 1))])
+    same = " AND ".join(f"r.{c} IS NOT DISTINCT FROM j.{c}" for c in node)
+    rules = sorted(RULES, key=lambda rule: -len(rule[1]))
+    fits = [
+        (text, action, f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{prefix}')")
+        for action, text in rules
+        for name, _, prefix in [text.partition("/")]
+    ]
+    rule = " ".join(f"WHEN {fit} THEN '{text}'" for text, _, fit in fits)
+    listed = " ".join(f"WHEN {fit} THEN '{action}'" for _, action, fit in fits)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    WITH b AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0
+               THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{upper.lower()}') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM b),
+    lab AS (SELECT doc_id, avg(quality) AS good FROM labels
+            WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1),
+    r0 AS (SELECT p.*, good, CASE WHEN path <> '' THEN string_split(regexp_replace(path, '^/', ''), '/') END AS seg
+           FROM p LEFT JOIN lab ON TRY_CAST(regexp_extract(path, '/([0-9]{{1,18}})[^/0-9]*/?$', 1) AS BIGINT) = doc_id),
+    {', '.join(parts)},
+    h AS (SELECT host, sum(labelled) AS hl, sum(g) AS hg FROM s1 GROUP BY 1),
+    w AS (SELECT coalesce(sum(hg) / nullif(sum(hl), 0), 1.0) AS prior FROM h),
+    j AS (SELECT {', '.join(f's1.{c}' for c in node)}, concat_ws('/', {', '.join('s1.' + c for c in branch.split(', '))}) AS template,
+                 (sum(g) OVER own + {SMOOTHING} * ((hg + {SMOOTHING} * prior) / (hl + {SMOOTHING})))
+                 / (sum(labelled) OVER own + {SMOOTHING}) AS purity
+          FROM s1 JOIN h ON s1.host = h.host, w WINDOW own AS (PARTITION BY s1.{branch}))
+    SELECT page_id, r.host, path, CASE {rule} END AS rule,
+           CASE {listed} ELSE CASE WHEN purity < {PURITY} THEN 'block' ELSE 'allow' END END AS verdict,
+           template, purity
+    FROM r{DEPTH} AS r JOIN j ON {same}
+    """.replace("OR ends_with(host", "OR ends_with(r.host").replace("(host = '", "(r.host = '")
+
+
+@query("op7_url_templates", _template_sql())
 def url_templates(spark: SparkSession, folder: str) -> DataFrame:
     host, path = url_parts(F.col("url"))
     pages = table(spark, folder, "pages").select("page_id", host.alias("host"), path.alias("path"))

@@ -85,10 +85,11 @@ def _merged(stats: DataFrame) -> DataFrame:
         branch, siblings = Window.partitionBy(*above, own), Window.partitionBy(*above)
         n, good = F.sum("labelled").over(branch), F.sum("good").over(branch)
         of, all_good = F.sum("labelled").over(siblings), F.sum("good").over(siblings)
-        share, others = good / n, (all_good - good) / (of - n)
-        pooled = all_good / of
-        error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / (of - n)))
-        apart = (n > 0) & (of > n) & (F.abs(share - others) > DIFFERENCE * error)
+        # A branch without labels, or with all of them, can't be told from the others.
+        own_n, other_n = F.nullif(n, F.lit(0.0)), F.nullif(of - n, F.lit(0.0))
+        pooled = all_good / (own_n + other_n)
+        error = F.sqrt(pooled * (1 - pooled) * (1 / own_n + 1 / other_n))
+        apart = F.abs(good / own_n - (all_good - good) / other_n) > DIFFERENCE * error
         stats = stats.withColumn("_apart", F.coalesce(apart, F.lit(False)))
         merged = F.when(F.col(own).isNull() | F.col("_apart"), F.col(own)).otherwise(WILDCARD)
         stats = stats.withColumn(own, merged).drop("_apart")
