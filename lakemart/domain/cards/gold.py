@@ -90,6 +90,7 @@ def fact_checks() -> list[Check]:
     categories = (
         "NME_CARTA NME_TIPO_CARTA NME_RARIDADE NME_CATEGORIA_COR COD_CORES NME_COLECAO NME_BLOCO"
     )
+    # The checks' names.
     return [
         Check("fk_null_id_oracle", F.count_if(F.col("ID_ORACLE").isNull())),
         Check("null_residual_categorico", F.count_if(any_null(*categories.split()))),
@@ -101,6 +102,7 @@ def fact_checks() -> list[Check]:
 
 def join_checks() -> list[Check]:
     """On one row of counts: what the fact's inner join leaves out."""
+    # The checks' names.
     return [
         Check("cartas_excluidas_sem_cotacao_de_preco", F.max("without_quote"), None),
         Check("precos_excluidos_sem_carta", F.max("without_card"), ORPHAN_QUOTE_LIMIT),

@@ -28,6 +28,11 @@ def _struct(text: str = "", **others) -> StructType:
     return StructType(fields + [StructField(name, kind) for name, kind in others.items()])
 
 
+def _listed(names: str, **kinds) -> StructType:
+    """Columns in the order of ``names``: text, but for those whose kind is given."""
+    return StructType([StructField(name, kinds.get(name, TEXT)) for name in names.split()])
+
+
 # Feeds as they arrive.
 FACE = _struct(
     "name mana_cost type_line oracle_text oracle_id artist power toughness",
@@ -57,28 +62,22 @@ RAW_MIGRATION = _struct(
 
 # Snapshot rows.
 STAGE = {
-    "cards": StructType(
-        _struct("name manaCost").fields
-        + _struct(cmc=FloatType()).fields
-        + _struct(
-            "colors colorIdentity type types subtypes rarity set setName text artist number "
-            "power toughness layout"
-        ).fields
-        + _struct(multiverseid=IntegerType()).fields
-        + _struct(
-            "imageUrl variations foreignNames printings originalText originalType legalities "
-            "id oracle_id"
-        ).fields
+    "cards": _listed(
+        "name manaCost cmc colors colorIdentity type types subtypes rarity set setName text artist "
+        "number power toughness layout multiverseid imageUrl variations foreignNames printings "
+        "originalText originalType legalities id oracle_id",
+        cmc=FloatType(),
+        multiverseid=IntegerType(),
     ),
-    "sets": StructType(
-        _struct("code name type border").fields
-        + _struct(mkm_id=IntegerType()).fields
-        + _struct("mkm_name releaseDate gathererCode magicCardsInfoCode booster oldCode").fields
-        + _struct(onlineOnly=BooleanType()).fields
-        + _struct("source").fields
-        + _struct(card_count=IntegerType()).fields
-        + _struct("parent_set_code block icon_svg_uri").fields
-        + _struct(" ".join(f"booster_{i}" for i in range(20))).fields
+    "sets": _listed(
+        "code name type border mkm_id mkm_name releaseDate gathererCode magicCardsInfoCode booster "
+        "oldCode onlineOnly source card_count parent_set_code block icon_svg_uri booster_0 booster_1 "
+        "booster_2 booster_3 booster_4 booster_5 booster_6 booster_7 booster_8 booster_9 booster_10 "
+        "booster_11 booster_12 booster_13 booster_14 booster_15 booster_16 booster_17 booster_18 "
+        "booster_19",
+        mkm_id=IntegerType(),
+        onlineOnly=BooleanType(),
+        card_count=IntegerType(),
     ),
     "card_prices": _struct(
         "id name set rarity usd usd_foil usd_etched eur eur_foil tix scryfall_uri image_url "
@@ -148,7 +147,12 @@ DIM = (
     "QTD_CUSTO_MANA COD_COLECAO NME_COLECAO NME_BLOCO DT_LANCAMENTO_COLECAO QTD_ESCLARECIMENTOS "
     "DT_ULTIMO_ESCLARECIMENTO ID_CARTA_CANONICO FLG_ID_CARTA_MIGRADO"
 ).split()
-FACT = DIM[:12] + ["DT_COTACAO"] + PRICE_VALUES + DIM[12:] + ["ANO_COTACAO", "MES_COTACAO"]
+FACT = (
+    "ID_CARTA ID_ORACLE NME_CARTA NME_TIPO_CARTA NME_RARIDADE NME_CATEGORIA_COR COD_CORES "
+    "QTD_CUSTO_MANA COD_COLECAO NME_COLECAO NME_BLOCO DT_LANCAMENTO_COLECAO DT_COTACAO VLR_USD "
+    "VLR_USD_FOIL VLR_USD_ETCHED VLR_EUR VLR_EUR_FOIL VLR_TIX QTD_ESCLARECIMENTOS "
+    "DT_ULTIMO_ESCLARECIMENTO ID_CARTA_CANONICO FLG_ID_CARTA_MIGRADO ANO_COTACAO MES_COTACAO"
+).split()
 
 UNKNOWN = "Nao_Identificado"
 NO_DATE = "1001-01-01"

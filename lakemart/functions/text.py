@@ -152,6 +152,7 @@ def split_head_tail(
 def list_category(c: Column, none_value: str = "Colorless") -> Column:
     """Name for the number of entries of a comma list."""
     n = F.size(F.split(c, ","))
+    # The categories.
     return (
         F.when(c == none_value, none_value)
         .when(n == 2, "Dual Color")

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Words of a report.
 NO_CHECKS = "sem checagens"
+INFO, FAILED, OK = "INFO", "FALHA", "OK"
 
 
 class DataQualityError(RuntimeError):
@@ -64,9 +66,9 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     limit = limits[F.col("check_name")]
     return long.withColumn("check_limit", limit).withColumn(
         "level",
-        F.when(F.col("check_limit").isNull(), "INFO")
-        .when(F.col("n") > F.col("check_limit"), "FALHA")
-        .otherwise("OK"),
+        F.when(F.col("check_limit").isNull(), INFO)
+        .when(F.col("n") > F.col("check_limit"), FAILED)
+        .otherwise(OK),
     )
 
 

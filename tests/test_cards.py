@@ -22,8 +22,8 @@ RAW = {"cards": sc.RAW_CARD, "sets": sc.RAW_SET, "card_prices": sc.RAW_CARD,
 def card(id="c1", **others):
     base = {
         "id": id, "oracle_id": "o1", "name": "Árvore Mãe", "mana_cost": "{2}{U}{U}", "cmc": 4,
-        "colors": ["U"], "color_identity": ["U", "W"], "type_line": "Creature — Human Wizard",
-        "rarity": "rare", "set": "trc", "set_name": "trial set", "oracle_text": "({T}: Add {G}.)",
+        "colors": ["U"], "color_identity": ["U", "W"], "type_line": "Creature — Moss Tinker",
+        "rarity": "rare", "set": "qmv", "set_name": "trial set", "oracle_text": "({T}: Add {G}.)",
         "artist": "jo silva", "collector_number": "7", "layout": "normal", "released_at": "2024-05-01",
         "image_uris": {"normal": "http://img/1"}, "legalities": {"standard": "legal", "modern": "not_legal"},
         "prices": {"usd": "1.35", "eur": "n/a"}, "scryfall_uri": "http://card/1",
@@ -53,7 +53,7 @@ def test_root_or_first_face(feed):
     two_faced = card(mana_cost=..., colors=[], oracle_id=..., image_uris=..., card_faces=[FACE, {"mana_cost": "x"}])
     row = first(stage.cards(feed("cards", [two_faced])))
     assert row["manaCost"] == "{U}" and row["oracle_id"] == "o9" and row["imageUrl"] == "http://front"
-    assert row["colors"] == "[]" and row["type"] == "Creature — Human Wizard" and row["power"] == "2"
+    assert row["colors"] == "[]" and row["type"] == "Creature — Moss Tinker" and row["power"] == "2"
     assert row["colorIdentity"] == '["U", "W"]' and row["cmc"] == 4.0
     assert json.loads(row["legalities"]) == {"standard": "legal", "modern": "not_legal"}
     assert row["types"] is None and row["multiverseid"] is None and row["printings"] is None
@@ -62,21 +62,21 @@ def test_root_or_first_face(feed):
 
 
 def test_price_rows_and_images(feed):
-    records = [card("p1", prices={"usd": "412.00"}), card("p2", image_uris={}, card_faces=[FACE], prices=...)]
+    records = [card("p1", prices={"usd": "73.85"}), card("p2", image_uris={}, card_faces=[FACE], prices=...)]
     one, two = stage.card_prices(feed("card_prices", records)).orderBy("id").collect()
-    assert (one.usd, one.usd_foil, one.image_url) == ("412.00", None, "http://img/1")
+    assert (one.usd, one.usd_foil, one.image_url) == ("73.85", None, "http://img/1")
     assert (two.usd, two.image_url, two.releaseDate) == (None, "http://front", "2024-05-01")
 
 
 def test_sets_and_migrations(feed):
-    raw = feed("sets", [{"code": "trc", "name": "n", "digital": False, "card_count": "many"},
+    raw = feed("sets", [{"code": "qmv", "name": "n", "digital": False, "card_count": "many"},
                         {"code": "b", "digital": True, "card_count": 12, "set_type": "core"}])
     bad, good = stage.sets(raw).orderBy("name", ascending=False).collect()
     assert (bad.onlineOnly, bad.card_count, bad.booster_19) == (False, None, None)
     assert (good.onlineOnly, good.card_count, good.type, good.parent_set_code) == (True, 12, "core", None)
-    raw = feed("migrations", [{"id": "m1", "metadata": {"id": "x", "set_code": "trc"}}, {"id": "m2"}])
+    raw = feed("migrations", [{"id": "m1", "metadata": {"id": "x", "set_code": "qmv"}}, {"id": "m2"}])
     with_meta, without = stage.migrations(raw).orderBy("id").collect()
-    assert (with_meta.metadata_id, with_meta.metadata_set_code) == ("x", "trc")
+    assert (with_meta.metadata_id, with_meta.metadata_set_code) == ("x", "qmv")
     assert without.metadata_id is None and without.new_scryfall_id is None
 
 
@@ -102,7 +102,7 @@ def feeds():
     return {
         "cards": [card(), card("c2", oracle_id="o2", set="old", name="Dropped"),
                   card("c3", oracle_id="o3", colors=["W", "U"], type_line="Legendary Planeswalker — Jace", power="*")],
-        "sets": [{"code": "TRC", "name": "trial set", "released_at": "2024-05-01", "set_type": "core", "block": "água"},
+        "sets": [{"code": "QMV", "name": "trial set", "released_at": "2024-05-01", "set_type": "core", "block": "água"},
                  {"code": "old", "name": "Old", "released_at": "1990-01-01"}],
         "card_prices": [card(), card("c3", prices={"usd": "2.5", "tix": ""}), card("token", prices={"usd": "9"}),
                         card("ancient", released_at="1995-01-01")],
@@ -121,9 +121,9 @@ def test_two_monthly_runs(lake):
     cards = {r.ID_CARTA: r for r in lake.silver.read("TB_FATO_CARTAS").collect()}
     assert set(cards) == {"c1", "c3"}
     one, jace = cards["c1"], cards["c3"]
-    assert (one.NME_CARTA, one.NME_TIPO_CARTA, one.DESC_DETALHE_TIPO_CARTA) == ("Arvore_Mae", "Creature", "Human_Wizard")
+    assert (one.NME_CARTA, one.NME_TIPO_CARTA, one.DESC_DETALHE_TIPO_CARTA) == ("Arvore_Mae", "Creature", "Moss_Tinker")
     assert (one.DESC_CUSTO_MANA, one.QTD_CORES, one.COD_CORES, one.NME_CATEGORIA_COR) == ("[2][U][U]", 2, "U", "Mono")
-    assert (one.DESC_CARTA, one.COD_IDENTIDADE_COR, one.COD_COLECAO) == ("[[Tap]: Add [Green].]", "U, W", "TRC")
+    assert (one.DESC_CARTA, one.COD_IDENTIDADE_COR, one.COD_COLECAO) == ("[[Tap]: Add [Green].]", "U, W", "QMV")
     assert one.DESC_LEGALIDADES == '["standard": "legal", "modern": "not_legal"]'
     assert (one.DESC_TIPOS, one.DESC_SUBTIPOS, one.NME_FORCA) == ("NA", "NA", "0")
     assert (jace.NME_TIPO_CARTA, jace.NME_CATEGORIA_COR, jace.NME_FORCA) == ("Planeswalker", "Dual_Color", "*")

@@ -142,8 +142,8 @@ def test_increment_after_high_water_mark(spark):
 
 
 def test_window_members_ignore_case_and_nulls(spark):
-    cards = spark.createDataFrame([("trc",), ("TRC",), ("old",), (None,)], "set string")
-    codes = spark.createDataFrame([("TRC",), (None,)], "code string")
+    cards = spark.createDataFrame([("qmv",), ("QMV",), ("old",), (None,)], "set string")
+    codes = spark.createDataFrame([("QMV",), (None,)], "code string")
     assert window_members(cards, "set", codes, "code").count() == 2
 
 

@@ -61,7 +61,7 @@ def test_symbols(one):
 @pytest.mark.parametrize(
     "line, want",
     [
-        ("Creature — Human Wizard", ("Creature", "Human Wizard")),
+        ("Creature — Moss Tinker", ("Creature", "Moss Tinker")),
         ("Creature — Elf — Druid", ("Creature", "Elf — Druid")),
         ("Instant", ("Instant", "NA")),
         ("Legendary Planeswalker — Jace", ("Planeswalker", "Legendary Planeswalker — Jace")),

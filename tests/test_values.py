@@ -24,7 +24,7 @@ def test_blank_rules_differ_on_spaces(one):
 def test_malformed_values_are_null(one):
     for text in ("", "n/a", "1,5"):
         assert one(v.parse_float(C), row=(text,)) is None
-    assert one(v.parse_float(C), row=("412.00",)) == 412.0
+    assert one(v.parse_float(C), row=("73.75",)) == 73.75
     for text in ("", "soon", "2024-13-01"):
         assert one(v.parse_date(C), row=(text,)) is None
     assert one(v.parse_date(C), row=("2024-02-29",)) == dt.date(2024, 2, 29)
