@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from lakemart.llm.text_segments import Memo, held, segments
 
 #: Distinct text segments whose ids a worker keeps.
-SEGMENT_LIMIT = 500_000
+SEGMENT_LIMIT = 400_000
 #: Pairs of tokens whose compatibility a worker keeps.
-PAIR_LIMIT = 500_000
+PAIR_LIMIT = 300_000
 #: White space as the tokenizer's own pattern library reads it.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 

@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.llm.text_segments import release
+
 #: Words on each side that a cutting word's hash has to be smaller than.
 REACH = 3
 #: Words of consecutive repeated units from which on they are removed.
@@ -102,6 +104,7 @@ def _first_digests(text: Column) -> Column:
 
     @F.arrow_udf("array<long>")
     def digests(texts: pa.Array) -> pa.Array:
+        release()
         found = [np.unique(units(value.as_py() or "")[0]) for value in texts]
         offsets = np.cumsum([0, *map(len, found)])
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -120,6 +123,7 @@ def _cut(text: Column, earlier: Column, least: int) -> Column:
 
     @F.arrow_udf("text string, removed array<struct<start: int, end: int>>")
     def cut(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        release()
         rows = []
         for value, digests in zip(texts, lists):
             whole = value.as_py()

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.bk_forest import Forest, spanning_links
 from lakemart.llm.components import smallest_reachable
+from lakemart.llm.text_segments import release
 from lakemart.plans.lineage import cut_lineage
 
 #: Members that a shard has on average, at most, and those beyond which it is divided.
@@ -61,6 +62,7 @@ def simhash(text: Column, size: int = 4, seed: int = 42) -> Column:
 
     @F.arrow_udf("long")
     def prints(texts: pa.Array) -> pa.Array:
+        release()
         found = [fingerprint((value.as_py() or "").encode(), size, seed) for value in texts]
         return pa.array(np.array(found, np.uint64).view(np.int64))
 
@@ -128,6 +130,7 @@ def _tree_links(radius: int):
         )
 
     def links(batches):
+        release()
         held, size = [], 0
         for batch in batches:
             held.append(np.stack([batch.column(i).to_numpy() for i in range(3)]))

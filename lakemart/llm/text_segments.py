@@ -42,6 +42,11 @@ def held(key, make: Callable):
     return _HELD[1]
 
 
+def release() -> None:
+    """Drop the object kept for an earlier stage; for work that needs the memory itself."""
+    _HELD.clear()
+
+
 class Memo:
     """Values by key, computed in batches when missing, at most ``limit`` of them kept.
 

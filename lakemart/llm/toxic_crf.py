@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.text_segments import Memo, held
+from lakemart.llm.text_segments import Memo, held, release
 from lakemart.plans.lineage import cut_lineage
 
 #: Labelled documents of each class that the model is fitted on, at most.
-SAMPLE = 3000
+SAMPLE = 2000
 #: Hash buckets of features.
 BUCKETS = 1 << 20
 PREFIXES = (3, 4, 5, 6)
@@ -111,7 +111,7 @@ def train_field(
     """
     real = states >= 0
     used, compact = np.unique(np.where(features >= 0, features, 0), return_inverse=True)
-    compact = compact.reshape(features.shape)
+    compact = compact.reshape(features.shape).astype(np.int32)
     given = (features >= 0) & real[:, :, None]
     weights, transitions = np.zeros(len(used)), np.zeros((2, 2))
     seen_w, seen_t = np.full(len(used), 1e-6), np.full((2, 2), 1e-6)
@@ -169,8 +169,8 @@ def _windows(words: list[str], seeds: set[int], toxic: bool, seed: int):
     width = 2 + len(PREFIXES)
     for centre in centres:
         start = max(0, min(int(centre) - WINDOW // 2, len(words) - WINDOW))
-        rows = np.full((WINDOW, width), -1, np.int64)
-        marks = np.full(WINDOW, -1, np.int64)
+        rows = np.full((WINDOW, width), -1, np.int32)
+        marks = np.full(WINDOW, -1, np.int8)
         for i, features in enumerate(found[start : start + WINDOW]):
             rows[i, : len(features)] = features
             marks[i] = states[start + i]
@@ -179,6 +179,7 @@ def _windows(words: list[str], seeds: set[int], toxic: bool, seed: int):
 
 def _document_features(batches):
     """(bucket, toxic, clean): in how many of the texts each feature occurs."""
+    release()
     counts = [np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)]
     memo = Memo(lambda words: [word_features(word) for word in words], WORD_LIMIT // 4)
     for batch in batches:
@@ -211,6 +212,7 @@ def _fit(seeds: set[int]):
     """Trains on all rows of one partition: the bounded sample."""
 
     def fit(batches):
+        release()
         rows, states = [], []
         for batch in batches:
             for text, toxic, key in zip(
