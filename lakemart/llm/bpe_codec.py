@@ -211,10 +211,25 @@ def _codec(path: str, pattern: str) -> Codec:
     return held(("codec", path, pattern), lambda: Codec(read_ranks(path), pattern))
 
 
-def _lists(found: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, found)])
-    flat = np.concatenate([np.zeros(0, np.int32), *found])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+class _Grown:
+    """Values of different lengths, one after the other in one buffer."""
+
+    def __init__(self):
+        self._data, self._ends = bytearray(), array("q", [0])
+
+    def add(self, value: bytes | np.ndarray) -> None:
+        self._data += memoryview(value).cast("B") if len(value) else b""
+        self._ends.append(len(self._data))
+
+    def lists(self) -> pa.ListArray:
+        ends = np.frombuffer(self._ends, np.int64) // 4
+        flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(self._data)])
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+
+    def binaries(self) -> pa.Array:
+        ends = np.frombuffer(self._ends, np.int64).astype(np.int32)
+        buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(self._data)]
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
@@ -223,7 +238,10 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
         codec = _codec(path, pattern)
-        return _lists([codec.encode(value.as_py() or "") for value in texts])
+        found = _Grown()
+        for value in texts:
+            found.add(codec.encode(value.as_py() or ""))
+        return found.lists()
 
     return ids_of(text)
 
@@ -235,9 +253,12 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("ids array<int>, decoded binary")
     def there_and_back(texts: pa.Array) -> pa.Array:
         codec = _codec(path, pattern)
-        found = [codec.encode(value.as_py() or "") for value in texts]
-        decoded = pa.array([codec.decode(ids) for ids in found], pa.binary())
-        return pa.StructArray.from_arrays([_lists(found), decoded], fields=list(kind))
+        found, decoded = _Grown(), _Grown()
+        for value in texts:
+            ids = codec.encode(value.as_py() or "")
+            found.add(ids)
+            decoded.add(codec.decode(ids))
+        return pa.StructArray.from_arrays([found.lists(), decoded.binaries()], fields=list(kind))
 
     return there_and_back(text)
 
