@@ -124,7 +124,11 @@ def bracket_text(c: Column, order=(BRACES, PARENS)) -> Column:
 def symbol_labels(c: Column, labels=SYMBOL_LABELS) -> Column:
     """Named tokens first, then every remaining ``{x}`` and ``(x)``."""
     named = reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), labels, c)
-    return bracket_text(named)
+    if not all(token.startswith("{") for token, _ in labels):
+        return bracket_text(named)
+    # Most texts have neither mark; one search then stands for all the passes.
+    parens_only = F.when(c.contains("("), F.regexp_replace(c, *PARENS)).otherwise(c)
+    return F.when(c.contains("{"), bracket_text(named)).otherwise(parens_only)
 
 
 def split_head_tail(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from lakemart.functions.dates import partition_columns
 from lakemart.functions.paths import path_name, snapshot_name
 from lakemart.functions.values import parse_date
 from lakemart.operators.increment import pending_snapshots
-from lakemart.plans.counts import RowCount
+from lakemart.plans.counts import NullCount, RowCount
+from lakemart.plans.lineage import delete
 from lakemart.plans.store import gathered
 from lakemart.sources.snapshots import list_snapshots
 
@@ -58,11 +60,11 @@ def land_snapshot(
 ) -> DataFrame | None:
     """Write the snapshot's (year, month) folders that this day has not completed yet.
 
-    One pass counts the rows before the cut-off (``run["records_read"]``), the rows
-    per folder after it and NULLs of the mandatory columns; one
-    partitioned job writes all pending folders. A folder counts as complete once
-    it holds ``_SUCCESS``, written after the job committed, so a half-written one
-    is replaced on the next run. Returns None when the input is empty.
+    The feed is read once: one partitioned job writes a staging folder and counts on
+    the way the rows before the cut-off (``run["records_read"]``) and NULLs of the
+    mandatory columns. If these pass, the folders that are pending move into place. A
+    folder counts as complete once it holds ``_SUCCESS``, written last, so a half-written
+    one is replaced on the next run. Returns None when the input is empty.
     """
     spark, run = df.sparkSession, run if run is not None else {}
     name = snapshot_name(F.col(YEAR), F.col(MONTH), run_ts.date(), table)
@@ -74,42 +76,61 @@ def land_snapshot(
         dated = with_partition(stamped, run_ts, date_column)
         return dated.withColumn("snapshot", name).drop(YEAR, MONTH)
 
-    ready, total = prepared(df), RowCount()
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in required]
-    profile = (
-        prepared(total.on(df))
-        .groupBy("snapshot")
-        .agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
-    )
-    folders = [r.asDict() for r in profile.collect()]
-    run["records_read"] = total.value
-    if not folders:
-        return None
-    missing = {c: sum(f[f"_null_{c}"] for f in folders) for c in required}
-    missing = {c: n for c, n in missing.items() if n}
-    if missing:
-        raise ValueError(f"{table}: NULL in mandatory columns {missing}; nothing was written")
-
     base = f"{root}/{table}"
-    wanted = spark.createDataFrame([(f["snapshot"],) for f in folders], "snapshot string")
-    landed = list_snapshots(spark, base).select(
-        F.regexp_replace(path_name(F.col("path")), "^snapshot=", "").alias("snapshot"), "complete"
-    )
-    pending = {r.snapshot for r in pending_snapshots(wanted, landed, ["snapshot"]).collect()}
-    if pending:
-        todo = ready.filter(F.col("snapshot").isin(*pending)) if len(pending) < len(folders) else ready
+    # Hidden from readers and listings by its underscore.
+    staged = f"{base}/_staging-{uuid.uuid4().hex}"
+    total, nulls = RowCount(), NullCount(required)
+    try:
         (
-            gathered(todo, ["snapshot"])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("snapshot")
-            .parquet(base)
+            gathered(nulls.on(prepared(total.on(df))), ["snapshot"])
+            .write.partitionBy("snapshot")
+            .parquet(staged)
         )
+        run["records_read"] = total.value
+        if nulls.value:
+            raise ValueError(f"{table}: NULL in mandatory columns {nulls.value}; nothing was written")
+        written = _staged_counts(spark, staged)
+        if not written:
+            return None
+        wanted = spark.createDataFrame([(s,) for s in written], "snapshot string")
+        landed = list_snapshots(spark, base).select(
+            F.regexp_replace(path_name(F.col("path")), "^snapshot=", "").alias("snapshot"), "complete"
+        )
+        pending = [r.snapshot for r in pending_snapshots(wanted, landed, ["snapshot"]).collect()]
+        for snapshot in pending:
+            _move(spark, f"{staged}/snapshot={snapshot}", f"{base}/snapshot={snapshot}")
         mark_complete(spark, [f"{base}/snapshot={s}" for s in pending])
+    finally:
+        delete(spark, staged)
+        _drop_if_empty(spark, base)
     run["files_written"] = len(pending)
-    run["files_skipped"] = len(folders) - len(pending)
-    run["records_written"] = sum(f["n_rows"] for f in folders if f["snapshot"] in pending)
-    return ready.drop("snapshot")
+    run["files_skipped"] = len(written) - len(pending)
+    run["records_written"] = sum(written[s] for s in pending)
+    return prepared(df).drop("snapshot")
+
+
+def _staged_counts(spark: SparkSession, staged: str) -> dict[str, int]:
+    """Rows of each staged folder; counts come from the files' footers."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{staged}/snapshot=*")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path):
+        return {}
+    rows = spark.read.schema("snapshot string").parquet(staged).groupBy("snapshot").count()
+    return {r["snapshot"]: r["count"] for r in rows.collect()}
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of a half-written one, if there is any."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    delete(spark, target)
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def _drop_if_empty(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(path) and not fs.listStatus(path):
+        fs.delete(path, False)
 
 
 def mark_complete(spark: SparkSession, folders: list[str]) -> None:
