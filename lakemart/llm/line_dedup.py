@@ -26,7 +26,7 @@ from lakemart.llm.text_segments import release
 #: Words on each side that a cutting word's hash has to be smaller than.
 REACH = 3
 #: Words of consecutive repeated units from which on they are removed.
-LEAST_WORDS = 20
+LEAST_WORDS = 22
 
 _WORD = re.compile(r"\S+")
 _EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~"
