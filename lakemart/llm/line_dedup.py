@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.text_segments import release
+from lakemart.llm.text_segments import release, text_batches
 
 #: Words on each side that a cutting word's hash has to be smaller than.
 REACH = 3
@@ -147,6 +147,7 @@ def dedup_lines(
     text that repeats as a whole becomes empty; no row goes. An existing column
     ``removed`` is replaced.
     """
+    text_batches(docs.sparkSession)
     rank = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
     found = docs.select(rank.alias("_rank"), F.explode(_first_digests(F.col(text))).alias("_unit"))
     # One exchange serves the grouping and the join with what it found.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.bpe_codec import round_trip
 from lakemart.llm.registry import query, table
+from lakemart.llm.text_segments import text_batches
 from lakemart.llm.token_counts import token_count
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +18,7 @@ TOKEN_LIMIT = 1024
 
 def digests(docs: DataFrame) -> DataFrame:
     found = round_trip(F.col("text"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    text_batches(docs.sparkSession)
     joined = F.array_join(F.col("_found.ids").cast("array<string>"), " ")
     return docs.withColumn("_found", found).select(
         "doc_id",
@@ -33,6 +35,7 @@ def bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_token_counts")
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    text_batches(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text")
     count = token_count(F.col("text"), public_tokenizers.path(COUNTED))
     return docs.select(

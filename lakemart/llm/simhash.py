@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.bk_forest import Forest, spanning_links
 from lakemart.llm.components import smallest_reachable
-from lakemart.llm.text_segments import release
+from lakemart.llm.text_segments import release, text_batches
 from lakemart.plans.lineage import cut_lineage
 
 #: Members that a shard has on average, at most, and those beyond which it is divided.
@@ -172,6 +172,7 @@ def simhash_components(
     component with another member; NULL and empty texts have the fingerprint 0.
     Repeated rows are members of one component. Other columns are not read.
     """
+    text_batches(docs.sparkSession)
     prints = cut_lineage(
         docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp")), "simhash"
     )

@@ -11,6 +11,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import pyarrow as pa
+from pyspark.sql import SparkSession
+
+#: Rows of whole texts that go to a Python worker at once; Spark's own default is for
+#: short rows, and a worker holds its batch several times.
+TEXT_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_SPARKS_DEFAULT = "10000"
+
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _SPACE_AND_MORE = re.compile(r" \s")
 
@@ -45,6 +54,13 @@ def held(key, make: Callable):
 def release() -> None:
     """Drop the object kept for an earlier stage; for work that needs the memory itself."""
     _HELD.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches small enough for whole texts, unless it has its own size."""
+    if spark.conf.get(_ROWS, _SPARKS_DEFAULT) == _SPARKS_DEFAULT:
+        spark.conf.set(_ROWS, str(TEXT_ROWS))
 
 
 class Memo:

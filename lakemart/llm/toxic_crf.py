@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.text_segments import Memo, held, release
+from lakemart.llm.text_segments import Memo, held, release, text_batches
 from lakemart.plans.lineage import cut_lineage
 
 #: Labelled documents of each class that the model is fitted on, at most.
@@ -253,6 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     Of each class the ``sample`` documents with the smallest hashes of their ids are read.
     Without documents of both classes, every text gets the share of toxic ones as score.
     """
+    text_batches(docs.sparkSession)
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
     labels = labels.agg(F.max("toxic").cast("long").alias("toxic"))
     shares = {row["toxic"]: row["count"] for row in labels.groupBy("toxic").count().collect()}
