@@ -8,11 +8,12 @@ aggregated before the shuffle, and the join that hands it out can be split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.plans.lineage import delete, new_path
 
+
 def _larger_to_smallest(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
@@ -53,3 +54,20 @@ def smallest_reachable(edges: DataFrame, left: str, right: str, node: str, root:
         if now == before:
             return state.select(F.col("a").alias(node), F.col("b").alias(root))
         before = now
+
+
+def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
+    """Orders rows by id, those without one last, then by a hash of the text and of the row."""
+    return F.struct(
+        F.col(doc_id).isNull().alias("nameless"),
+        F.col(doc_id).alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.xxhash64(*docs.columns).alias("row_hash"),
+    )
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The row of ``docs`` for each ``key`` of ``row_key``; of equal rows one."""
+    keyed = docs.withColumn("_key", row_key(docs, doc_id, text))
+    kept = keyed.join(keys.select(F.col("key").alias("_key")), "_key", "left_semi")
+    return kept.dropDuplicates(["_key"]).drop("_key")
