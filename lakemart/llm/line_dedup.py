@@ -1,12 +1,13 @@
-"""Repeated passages by hashing lines, and units of long lines.
+"""Repeated lines, and repeated passages inside lines, by hashing lines and units of them.
 
-A line ends a unit. Inside a line a unit ends after each word whose hash is smaller
+A whole line that an earlier one repeats goes whatever its length. Passages inside lines
+are found by units. A line ends a unit. Inside a line a unit ends after each word whose hash is smaller
 than those of its neighbours on both sides, so a passage that stands in the middle
 of different lines is cut the same way in all of them. Units are normalised (case,
 white space, punctuation at the ends of words) and their digests grouped over the whole
-corpus; the earliest occurrence, by document id and then position, stays. A later one
-goes when it and its neighbours that go too have ``least`` words or more together, so
-that phrases that just happen to recur stay. A passage loses fewer words at each end
+corpus, lines apart from units; the earliest occurrence, by document id and then position,
+stays. A later unit goes when it and its neighbours that go too have ``least`` words or more
+together, so that phrases that just happen to recur inside lines stay. A passage loses fewer words at each end
 than two cuts are apart; all offsets are those of the original text.
 """
 
@@ -25,7 +26,7 @@ from lakemart.llm.text_segments import release, text_batches
 
 #: Words on each side that a cutting word's hash has to be smaller than.
 REACH = 3
-#: Words of consecutive repeated units from which on they are removed.
+#: Words of consecutive repeated units inside lines from which on they are removed.
 LEAST_WORDS = 22
 
 _WORD = re.compile(r"\S+")
@@ -36,13 +37,24 @@ def _plain(word: str) -> bytes:
     return (word.lower().strip(_EDGES) or word).encode()
 
 
-def units(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
-    """Digests of the units of a text, their (first word, end) and the words' number."""
+def _parsed(text: str) -> tuple[list[bytes], np.ndarray]:
+    """The normalised words, and the ends of the lines that have any."""
     # Lines are cut first: a line end is a unit's end whatever the words are.
-    lines = text.split("\n")
-    words = [line.split() for line in lines]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = [_plain(word) for line in words for word in line]
+    lines = [line.split() for line in text.split("\n")]
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    return [_plain(word) for line in lines for word in line], np.cumsum(sizes)[sizes > 0]
+
+
+def _digests(flat: list[bytes], spans: list[tuple[int, int]], seed: int) -> np.ndarray:
+    found = (xxhash.xxh3_64_intdigest(b" ".join(flat[a:b]), seed) for a, b in spans)
+    return np.fromiter(found, np.uint64, len(spans)).view(np.int64)
+
+
+def _spans(ends: np.ndarray) -> list[tuple[int, int]]:
+    return list(zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()))
+
+
+def _units(flat: list[bytes], line_ends: np.ndarray):
     n = len(flat)
     if not n:
         return np.zeros(0, np.int64), [], np.zeros(0, np.int64)
@@ -52,38 +64,63 @@ def units(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
     for step in range(1, REACH + 1):
         cut &= code < padded[REACH - step : REACH - step + n]
         cut &= code < padded[REACH + step : REACH + step + n]
-    cut[np.cumsum(sizes)[sizes > 0] - 1] = True
+    cut[line_ends - 1] = True
     ends = np.flatnonzero(cut) + 1
-    starts = np.r_[0, ends[:-1]]
-    spans = list(zip(starts.tolist(), ends.tolist()))
-    digests = np.fromiter(
-        (xxhash.xxh3_64_intdigest(b" ".join(flat[a:b])) for a, b in spans), np.uint64, len(spans)
-    ).view(np.int64)
-    return digests, spans, ends - starts
+    spans = _spans(ends)
+    return _digests(flat, spans, 0), spans, np.diff(np.r_[0, ends])
 
 
-def removed_spans(text: str, earlier: set[int], least: int = LEAST_WORDS) -> list[tuple[int, int]]:
-    """Character offsets (start, end) of the runs of repeated units.
+def units(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
+    """Digests of the units of a text, their (first word, end) and the words' number."""
+    return _units(*_parsed(text))
+
+
+def _lines(flat: list[bytes], line_ends: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    spans = _spans(line_ends) if len(line_ends) else []
+    return _digests(flat, spans, 1), spans
 
-    ``earlier`` holds the digests that an earlier document has; a unit repeats too when
-    it comes a second time in the text itself.
+
+def lines(text: str) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Digests of the lines of a text that have words, and their (first word, end).
+
+    None is also the digest of a unit: a line repeats only a line.
     """
-    digests, spans, sizes = units(text)
-    if not len(digests):
-        return []
+    return _lines(*_parsed(text))
+
+
+def _repeats(digests: np.ndarray, earlier: np.ndarray) -> np.ndarray:
     repeats = np.ones(len(digests), bool)
     repeats[np.unique(digests, return_index=True)[1]] = False
-    if earlier:
-        repeats |= np.isin(digests, np.fromiter(earlier, np.int64, len(earlier)))
-    if int(sizes[repeats].sum()) < least:
+    return repeats | np.isin(digests, earlier)
+
+
+def removed_spans(text: str, earlier: set[int], least: int = LEAST_WORDS) -> list[tuple[int, int]]:
+    """Character offsets (start, end) of the repeated lines and the runs of repeated units.
+
+    ``earlier`` holds the digests of lines and units that an earlier document has; one
+    repeats too when it comes a second time in the text itself.
+    """
+    flat, line_ends = _parsed(text)
+    if not flat:
         return []
+    before = np.fromiter(earlier, np.int64, len(earlier))
+    digests, spans, sizes = _units(flat, line_ends)
+    line_digests, line_spans = _lines(flat, line_ends)
+    gone = np.zeros(len(flat), bool)
+    for at in np.flatnonzero(_repeats(line_digests, before)):
+        gone[slice(*line_spans[at])] = True
+    # Units of a repeated line repeat with it, wherever its neighbours have cut it.
+    repeats = _repeats(digests, before) | gone[[a for a, _ in spans]]
     edges = np.diff(np.r_[0, repeats.astype(np.int8), 0])
-    runs = zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1))
-    runs = [(a, b) for a, b in runs if sizes[a:b].sum() >= least]
-    if not runs:
+    for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)):
+        if sizes[a:b].sum() >= least:
+            gone[spans[a][0] : spans[b - 1][1]] = True
+    if not gone.any():
         return []
     at = [match.span() for match in _WORD.finditer(text)]
-    return [(at[spans[a][0]][0], at[spans[b - 1][1] - 1][1]) for a, b in runs]
+    edges = np.diff(np.r_[0, gone.astype(np.int8), 0])
+    runs = zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1))
+    return [(at[a][0], at[b - 1][1]) for a, b in runs]
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -100,12 +137,13 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _first_digests(text: Column) -> Column:
-    """The distinct digests of a text."""
+    """The distinct digests of the lines and units of a text."""
 
     @F.arrow_udf("array<long>")
     def digests(texts: pa.Array) -> pa.Array:
         release()
-        found = [np.unique(units(value.as_py() or "")[0]) for value in texts]
+        parsed = [_parsed(value.as_py() or "") for value in texts]
+        found = [np.unique(np.r_[_units(*one)[0], _lines(*one)[0]]) for one in parsed]
         offsets = np.cumsum([0, *map(len, found)])
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
