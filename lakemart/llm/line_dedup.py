@@ -175,30 +175,51 @@ def _cut(text: Column, earlier: Column, least: int) -> Column:
     return cut(text, earlier)
 
 
+def _told_apart(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with ``_id``, NULL for rows without one, and ``_row``, a hash of the row.
+
+    ``_row`` orders rows without an id. Equal ones are counted, and each gets its own.
+    """
+    named = docs.where(F.col(doc_id).isNotNull()).withColumns(
+        {"_id": F.col(doc_id).cast("long"), "_row": F.xxhash64(F.lit(0), doc_id, text)}
+    )
+    nameless = docs.where(F.col(doc_id).isNull()).groupBy(*docs.columns).agg(F.count("*").alias("_n"))
+    nameless = nameless.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).withColumns(
+        {"_id": F.lit(None).cast("long"), "_row": F.xxhash64(F.lit(1), *docs.columns, "_copy")}
+    )
+    return named.unionByName(nameless.drop("_n", "_copy"))
+
+
 def dedup_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS
 ) -> DataFrame:
     """``docs`` with its text cut and ``removed``, the spans of the original text that went.
 
-    Rows of the same doc_id are one document and don't count as repeats of each other;
-    those without an id are one that comes after all others. NULL texts stay NULL, and a
-    text that repeats as a whole becomes empty; no row goes. An existing column
-    ``removed`` is replaced.
+    Rows of the same doc_id are one document and don't count as repeats of each other.
+    Each row without an id is a document of its own; these come after all others, in the
+    order of a hash of the row. NULL texts stay NULL, and a text that repeats as a whole
+    becomes empty; no row goes. An existing column ``removed`` is replaced.
     """
     text_batches(docs.sparkSession)
-    rank = F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))
-    found = docs.select(rank.alias("_rank"), F.explode(_first_digests(F.col(text))).alias("_unit"))
+    rows = _told_apart(docs, doc_id, text)
+    found = rows.select("_id", "_row", F.explode(_first_digests(F.col(text))).alias("_unit"))
     # One exchange serves the grouping and the join with what it found.
     found = found.repartition("_unit")
-    first = found.groupBy("_unit").agg(F.min("_rank").alias("_first"), F.max("_rank").alias("_last"))
-    shared = first.where("_first < _last").select("_unit", "_first")
-    later = found.join(shared, "_unit").where("_rank > _first")
-    # As many as a document has units; a set, as rows of one id may share them.
-    lists = later.groupBy("_rank").agg(F.collect_set("_unit").alias("_earlier"))
-    ranked = docs.withColumn("_rank", rank)
-    cut = ranked.join(lists, "_rank", "left").withColumn(
-        "_cut", _cut(F.col(text), F.col("_earlier"), least)
+    order = F.when(F.col("_id").isNull(), F.col("_row"))
+    first = found.groupBy("_unit").agg(
+        F.min("_id").alias("_first"),
+        F.max("_id").alias("_last"),
+        F.min(order).alias("_next"),
+        F.max(order).alias("_end"),
     )
+    named, nameless = F.col("_first").isNotNull(), F.col("_next").isNotNull()
+    repeats = (named & nameless) | F.coalesce(F.col("_first") < F.col("_last"), F.col("_next") < F.col("_end"))
+    shared = first.where(repeats).select("_unit", "_first", "_next")
+    after = F.when(F.col("_id").isNull(), named | (F.col("_row") > F.col("_next")))
+    later = found.join(shared, "_unit").where(after.otherwise(F.col("_id") > F.col("_first")))
+    # As many as a text has lines and units; a set, as equal rows of one id share them.
+    lists = later.groupBy("_row").agg(F.collect_set("_unit").alias("_earlier"))
+    cut = rows.join(lists, "_row", "left").withColumn("_cut", _cut(F.col(text), F.col("_earlier"), least))
     return cut.withColumns({text: F.col("_cut.text"), "removed": F.col("_cut.removed")}).drop(
-        "_rank", "_earlier", "_cut"
+        "_id", "_row", "_earlier", "_cut"
     )
