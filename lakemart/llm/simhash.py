@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm.bk_forest import Forest, spanning_links
-from lakemart.llm.components import smallest_reachable
+from lakemart.llm.components import row_key, rows_of, smallest_reachable
 from lakemart.llm.text_segments import release, text_batches
 from lakemart.plans.lineage import cut_lineage
 
@@ -162,6 +162,16 @@ def near_links(prints: DataFrame, radius: int = 4) -> DataFrame:
     return shards.mapInArrow(_tree_links(radius), "a long, b long")
 
 
+def _rooted(docs: DataFrame, text: str, radius: int, **keys: Column) -> tuple[DataFrame, DataFrame]:
+    """(keys, fp) of each row of ``docs``, and (fp, root) of each distinct fingerprint."""
+    text_batches(docs.sparkSession)
+    named = [key.alias(name) for name, key in keys.items()]
+    prints = cut_lineage(docs.select(*named, simhash(F.col(text)).alias("fp")), "simhash")
+    distinct = cut_lineage(prints.select("fp").distinct(), "prints")
+    roots = smallest_reachable(near_links(distinct, radius), "a", "b", "fp", "root")
+    return prints, distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 4
 ) -> DataFrame:
@@ -187,15 +197,11 @@ def simhash_components(
 
 
 def keep_first(docs: DataFrame, radius: int = 4) -> DataFrame:
-    """The columns of ``docs``, one document of each component: that with the smallest doc_id.
+    """The columns of ``docs``, one row of each component: that with the smallest doc_id.
 
-    Of repeated rows of that id one stays. A component without any id keeps one row.
+    Rows without an id come last; of rows of one id, that with the smallest hash of its
+    text stays. A component without any id keeps one row.
     """
-    found = simhash_components(docs, radius=radius)
-    kept = found.where("component_id is not null").select(F.col("component_id").alias("doc_id"))
-    named = docs.where("doc_id is not null").join(kept.distinct(), "doc_id", "left_semi")
-    nameless = docs.where("doc_id is null").withColumn("_fp", simhash(F.col("text")))
-    alone = found.where("component_id is null").select(F.col("fp").alias("_fp")).distinct()
-    # Without ids the fingerprints stand for the rows; equal ones are one component.
-    nameless = nameless.join(alone, "_fp", "left_semi").dropDuplicates(["_fp"]).drop("_fp")
-    return named.dropDuplicates(["doc_id"]).unionByName(nameless)
+    prints, rooted = _rooted(docs, "text", radius, key=row_key(docs, "doc_id", "text"))
+    first = prints.groupBy("fp").agg(F.min("key").alias("key")).join(rooted, "fp")
+    return rows_of(docs, first.groupBy("root").agg(F.min("key").alias("key")), "doc_id", "text")

@@ -1,0 +1,15 @@
+"""keep_first decides by rows: without ids, and with two texts under one id."""
+
+from lakemart.llm.simhash import fingerprint, keep_first
+
+
+def test_one_row_of_each_component(spark):
+    words = [f"w{i % 37} t{i % 11}" for i in range(200)]
+    text = " ".join(f"w{i} {word}" for i, word in enumerate(words))
+    copies = (text.replace(f"w{i} ", "other ", 1) for i in range(200))
+    bits = [((fingerprint(text.encode()) ^ fingerprint(c.encode())).bit_count(), c) for c in copies]
+    near = next(copy for n, copy in bits if 1 <= n <= 4)
+    rows = [(None, text), (None, near), (3, "a first text of its own here"), (3, "quite another one under that id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [row["text"] for row in keep_first(docs).collect()]
+    assert len(got) == 3 and len({text, near} & set(got)) == 1 and rows[2][1] in got and rows[3][1] in got
