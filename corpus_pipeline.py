@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.mixing import mixed
-from lakemart.llm.near_copies import keep_one
+from lakemart.llm.near_text import keep_one
 from lakemart.llm.queries_quality import TARGETS, fitted_domains, toxic_model
 from lakemart.llm.queries_tokens import digests
 from lakemart.llm.toxic_crf import toxicity
