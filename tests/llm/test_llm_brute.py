@@ -9,11 +9,11 @@ import public_tokenizers
 import pytest
 import tiktoken
 from test_llm_dedup import groups_of, plain_fingerprint
+from test_llm_near_text import judged
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakemart.llm.bpe_codec import read_ranks
-from lakemart.llm.line_dedup import removed_spans, units, without
 from lakemart.llm.queries import QUERIES
 from lakemart.llm.queries_quality import TARGETS
 
@@ -99,13 +99,78 @@ def test_op6(spark, docs):
     assert {tuple(row) for row in rows} == {(i, f"{prints[i]:016x}", root[i]) for i in ids}
 
 
+EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def plain_parts(text):
+    """Words with offsets, and the lines and units of a text as (first word, end) pairs."""
+    words, lines = [], []
+    at = 0
+    for line in text.split("\n"):
+        first = len(words)
+        for word in line.split():
+            at = text.index(word, at)
+            words.append((word.lower().strip(EDGES) or word, at, at + len(word)))
+            at += len(word)
+        if len(words) > first:
+            lines.append((first, len(words)))
+    codes = [zlib.crc32(word.encode()) for word, _, _ in words]
+    ends = {end for _, end in lines}
+    for i, code in enumerate(codes):
+        if all(code < other for k, other in enumerate(codes[max(0, i - 3) : i + 4], max(0, i - 3)) if k != i):
+            ends.add(i + 1)
+    ends = sorted(ends)
+    return words, lines, list(zip([0, *ends], ends))
+
+
+def plain_spans(text, lines_before, units_before):
+    """What goes from a text: later lines, and in lines later units of 22 words or more together."""
+    words, lines, units = plain_parts(text)
+    plain = [word for word, _, _ in words]
+    gone = [False] * len(words)
+    lines_here, units_here = set(), set()
+    for a, b in lines:
+        line = tuple(plain[a:b])
+        if line in lines_before or line in lines_here:
+            gone[a:b] = [True] * (b - a)
+        lines_here.add(line)
+    again = []
+    for a, b in units:
+        unit = tuple(plain[a:b])
+        again.append(unit in units_before or unit in units_here or gone[a])
+        units_here.add(unit)
+    k = 0
+    while k < len(units):
+        end = k
+        while end < len(units) and again[end]:
+            end += 1
+        if end > k and units[end - 1][1] - units[k][0] >= 22:
+            gone[units[k][0] : units[end - 1][1]] = [True] * (units[end - 1][1] - units[k][0])
+        k = max(end, k + 1)
+    spans = []
+    for (_, start, end), drop, before in zip(words, gone, [False, *gone]):
+        if drop and before:
+            spans[-1] = (spans[-1][0], end)
+        elif drop:
+            spans.append((start, end))
+    return spans, lines_here, units_here
+
+
+def plain_without(text, spans):
+    """A span goes with the white space after it; what ends the text leaves none before it."""
+    for start, end in reversed(spans):
+        rest = text[end:].lstrip()
+        text = text[:start] + rest if rest else text[:start].rstrip()
+    return text
+
+
 def plain_cut(docs):
-    seen, kept = set(), {}
+    lines, units, kept = set(), set(), {}
     for i, text in sorted(docs.items()):
-        own = set(units(text or "")[0].tolist())
-        spans = removed_spans(text or "", own & seen)
-        kept[i] = (without(text, spans) if spans else text, spans)
-        seen |= own
+        spans, own_lines, own_units = plain_spans(text or "", lines, units)
+        kept[i] = (plain_without(text, spans), spans)
+        lines |= own_lines
+        units |= own_units
     return kept
 
 
@@ -146,10 +211,8 @@ def test_pipeline(spark, docs, library, tmp_path):
             assert rows.columns == ["doc_id", "text", "lang", "source", "n_chars"]
             seen[k + 1] = {row["doc_id"]: row["text"] for row in rows.collect()}
     assert set(seen[1]) <= set(docs) and len(seen[1]) >= 0.8 * len(docs)
-    prints = {i: plain_fingerprint(text) for i, text in seen[1].items()}
-    ids = sorted(seen[1])
-    near = [(a, b) for k, a in enumerate(ids) for b in ids[:k] if (prints[a] ^ prints[b]).bit_count() <= 4]
-    assert set(seen[2]) == set(groups_of(near, ids).values())
+    gone, missed = judged(sorted(seen[1].items()), set(seen[2]))
+    assert gone and len(missed) <= 0.05 * len(gone)
     assert seen[3] == {i: text for i, (text, _) in plain_cut(seen[2]).items()}
     assert set(seen[4]) <= set(seen[3]) and len(seen[4]) >= 0.8 * len(seen[3])
     got = {row["doc_id"]: tuple(row[1:4]) for row in rows.collect()}

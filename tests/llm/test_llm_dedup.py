@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakemart.llm.bk_forest import Forest, spanning_links
 from lakemart.llm.components import smallest_reachable
 from lakemart.llm.line_dedup import dedup_lines, removed_spans, units, without
-from lakemart.llm.simhash import fingerprint, keep_first, near_links, shard_masks, simhash_components
+from lakemart.llm.simhash import fingerprint, near_links, shard_masks, simhash_components
 
 
 def groups_of(pairs, nodes):
@@ -134,11 +134,8 @@ def test_components_of_documents(spark):
         got.setdefault(row["doc_id"], set()).add(row["component_id"])
     assert got[7] == got[3] == got[9] == {3} and got[4] == got[2] == {2}
     assert got[5] == {5} and got[11] == {11} and got[None] == {3, None}
-    kept = keep_first(docs).collect()
-    assert sorted(row["doc_id"] or 0 for row in kept) == [0, 2, 3, 5, 11]
-    assert kept[0]["fp"] == "old"
     empty = docs.where("doc_id < 0")
-    assert simhash_components(empty).count() == 0 and keep_first(empty).count() == 0
+    assert simhash_components(empty).count() == 0
 
 
 def prose(seed, n):
