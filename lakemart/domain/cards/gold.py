@@ -14,7 +14,15 @@ from lakemart.plans.mart import MartSpec
 ORPHAN_QUOTE_LIMIT = 12000
 
 
-def dimension(cards: DataFrame, sets: DataFrame, rulings: DataFrame, migrations: DataFrame) -> DataFrame:
+def dimension(
+    cards: DataFrame,
+    sets: DataFrame,
+    rulings: DataFrame,
+    migrations: DataFrame,
+    hot_sets: list | None = None,
+    hot_oracles: list | None = None,
+) -> DataFrame:
+    """Current cards. Sets and oracle ids of very many cards can be given, else they are looked for."""
     no_date = F.lit(sc.NO_DATE).cast("date")
     summary = child_summary(
         rulings, "ID_ORACLE", "DT_PUBLICACAO", "QTD_ESCLARECIMENTOS", "DT_ULTIMO_ESCLARECIMENTO"
@@ -37,6 +45,7 @@ def dimension(cards: DataFrame, sets: DataFrame, rulings: DataFrame, migrations:
                 "NME_BLOCO": F.lit(sc.UNKNOWN),
                 "DT_LANCAMENTO_COLECAO": no_date,
             },
+            hot=hot_sets,
         ),
         Lookup(
             summary,
@@ -47,6 +56,7 @@ def dimension(cards: DataFrame, sets: DataFrame, rulings: DataFrame, migrations:
                 "DT_ULTIMO_ESCLARECIMENTO": "DT_ULTIMO_ESCLARECIMENTO",
             },
             {"QTD_ESCLARECIMENTOS": F.lit(0), "DT_ULTIMO_ESCLARECIMENTO": no_date},
+            hot=hot_oracles,
         ),
         Lookup(
             latest,
@@ -83,6 +93,8 @@ MART = MartSpec(
     assemble=fact,
     dim_columns=sc.DIM,
     fact_columns=sc.FACT,
+    quote_columns=("ID_CARTA", "DT_INGESTAO", *sc.PRICE_VALUES),
+    quote_partitions=("ANO_INGESTAO", "MES_INGESTAO"),
 )
 
 

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 from lakemart.domain.cards import gold, silver, stage
 from lakemart.domain.cards import schemas as sc
 from lakemart.functions.dates import release_cutoff
-from lakemart.operators.increment import read_increment, window_members
-from lakemart.operators.quality import enforce, run_checks, unmatched_ids
+from lakemart.operators.increment import newer_than, window_members
+from lakemart.operators.quality import enforce, run_checks
 from lakemart.plans.bronze import load_new_snapshots
+from lakemart.plans.counters import check_table, heavy_keys, newest
 from lakemart.plans.keyed_save import save_keyed
 from lakemart.plans.landing import land_snapshot
 from lakemart.plans.lineage import scratch
-from lakemart.plans.mart import refresh_mart
+from lakemart.plans.mart import QuoteSource, refresh_mart
+from lakemart.plans.refcounts import reference_counts, unmatched_counts
 from lakemart.plans.runlog import audit_run, run_logged, utc_now
 from lakemart.plans.store import TableStore
 
@@ -120,9 +122,8 @@ def run_silver(
     """Clean and upsert the Bronze rows the table has not seen."""
     spec = TABLES[table]
     stored = silver_store.read_or_none(table)
-    fresh = read_increment(
-        bronze.read(spec.feed), stored, "bronze_ingestion_timestamp", "DT_INGESTAO_BRONZE"
-    )
+    bound = newest(silver_store, table, "DT_INGESTAO_BRONZE") if stored is not None else None
+    fresh = newer_than(bronze.read(spec.feed), "bronze_ingestion_timestamp", bound)
     df = spec.transform(fresh, as_of)
     with scratch(silver_store.spark) as cut:
         if spec.feed == "migrations":
@@ -145,12 +146,14 @@ def run_gold(silver_store: TableStore, gold_store: TableStore, rebuild: bool = F
     with audit_run(gold_store, gold.MART.fact_table, clock) as audit:
         cards, sets, prices, rulings, migrations = (silver_store.read(t) for t in TABLES)
         audit.read = _count_rows(cards, sets, prices, rulings, migrations)
-        audit.results |= enforce(run_checks(_unmatched(cards, prices), gold.join_checks()), "pré-join")
-        dim = gold.dimension(cards, sets, rulings, migrations)
+        audit.results |= enforce(run_checks(_unmatched(silver_store), gold.join_checks()), "pré-join")
+        hot = [heavy_keys(silver_store, "TB_FATO_CARTAS", key) for key in ("COD_COLECAO", "ID_ORACLE")]
+        dim = gold.dimension(cards, sets, rulings, migrations, *hot)
+        source = QuoteSource(silver_store, "TB_FATO_PRECOS_CARTAS")
         with audit.saving():
-            audit.processed = refresh_mart(gold_store, gold.MART, dim, prices, rebuild)
-        stored = gold_store.read(gold.MART.fact_table)
-        audit.results |= enforce(run_checks(stored, gold.fact_checks()), gold.MART.fact_table)
+            audit.processed = refresh_mart(gold_store, gold.MART, dim, prices, rebuild, source)
+        report = check_table(gold_store, gold.MART.fact_table, gold.fact_checks())
+        audit.results |= enforce(report, gold.MART.fact_table)
     return audit
 
 
@@ -159,8 +162,11 @@ def _count_rows(*frames: DataFrame) -> int:
     return reduce(DataFrame.union, [f.select(F.lit(1)) for f in frames]).count()
 
 
-def _unmatched(cards: DataFrame, prices: DataFrame) -> DataFrame:
-    """One row: cards without a quote, quoted ids without a card."""
-    without_quote = unmatched_ids(cards, prices, "ID_CARTA").withColumnRenamed("n_ids", "without_quote")
-    without_card = unmatched_ids(prices, cards, "ID_CARTA").withColumnRenamed("n_ids", "without_card")
-    return without_quote.unionByName(without_card, allowMissingColumns=True)
+def _unmatched(silver_store: TableStore) -> DataFrame:
+    """One row: cards without a quote, quoted ids without a card, from counts kept per id."""
+    cards, prices = (
+        reference_counts(silver_store, name, "ID_CARTA") for name in ("TB_FATO_CARTAS", "TB_FATO_PRECOS_CARTAS")
+    )
+    return unmatched_counts(cards, prices).withColumnsRenamed(
+        {"left_only": "without_quote", "right_only": "without_card"}
+    )

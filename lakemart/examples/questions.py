@@ -15,17 +15,10 @@ def exact_average(amount: Column) -> Column:
 def appreciation(fact: DataFrame, groups: list[str], member: str, time: str, price: str) -> DataFrame:
     """Average change from each member's first to last quote, per group."""
     quotes = fact.filter(F.col(price).isNotNull())
-    keys = [*groups, member]
-
-    def end(order: list[Column], sign: int) -> DataFrame:
-        """One quote per member; the limited window keeps few rows for the shuffle."""
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        ranked = quotes.select(*keys, time, price).withColumn("_rank", rank).filter("_rank = 1")
-        return ranked.select(*keys, (sign * F.col(price)).alias("_part"))
-
-    first = end([F.col(time).asc_nulls_first(), F.col(price).asc()], -1)
-    last = end([F.col(time).desc_nulls_last(), F.col(price).desc()], 1)
-    change = first.unionAll(last).groupBy(*keys).agg(F.sum("_part").alias("_change"))
+    # NULL is the least time, so a quote without one is the first, and the last only if all are.
+    quote = F.struct(time, price)
+    ends = quotes.groupBy(*groups, member).agg(F.min(quote).alias("_first"), F.max(quote).alias("_last"))
+    change = ends.select(*groups, (F.col("_last")[price] - F.col("_first")[price]).alias("_change"))
     return change.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n_members"),
         exact_average(F.col("_change")).alias("avg_change"),

@@ -18,10 +18,10 @@ def latest_edges(events: DataFrame, old: str, new: str, order_by: list[str]) ->
     return ranked.filter("_rank = 1").select(F.col(old).alias("old"), F.col(new).alias("new"))
 
 
-def resolve_chain(edges: DataFrame, max_hops: int = 10) -> DataFrame:
-    """(old, canonical, hops): follow the edges for at most ``max_hops``.
+def walks(edges: DataFrame, max_hops: int = 10) -> DataFrame:
+    """(old, path): the ids met one after the other from each ``old``, ``max_hops`` at most.
 
-    A walk stops before it would revisit any of its ids. Walks double in length
+    A path goes round in a cycle; ``ended_at`` takes its distinct beginning. Walks double in length
     each round: the path of 2n hops is the path of n hops followed by that of its
     end, so 10 hops need 4 joins, and the whole stays one lazy distributed plan.
     Revisits need no check on the way: each id has one successor, so after the
@@ -46,6 +46,19 @@ def resolve_chain(edges: DataFrame, max_hops: int = 10) -> DataFrame:
             .alias("path"),
         )
         length += step
+    return paths
+
+
+def resolve_chain(edges: DataFrame, max_hops: int = 10) -> DataFrame:
+    """(old, canonical, hops): follow the edges for at most ``max_hops``.
+
+    A walk stops before it would revisit any of its ids.
+    """
+    return ended_at(walks(edges, max_hops))
+
+
+def ended_at(paths: DataFrame) -> DataFrame:
+    """(old, canonical, hops) of walks."""
     walk = F.array_distinct(F.concat(F.array("old"), F.col("path")))
     return paths.select(
         "old", F.element_at(walk, -1).alias("canonical"), (F.size(walk) - 1).alias("hops")
@@ -53,10 +66,13 @@ def resolve_chain(edges: DataFrame, max_hops: int = 10) -> DataFrame:
 
 
 def attach_canonical(
-    df: DataFrame, resolved: DataFrame, id_column: str, output: str
+    df: DataFrame, resolved: DataFrame, id_column: str, output: str, hot: list | None = None
 ) -> DataFrame:
-    """Add the final id of ``id_column``; ids without an edge keep themselves."""
+    """Add the final id of ``id_column``; ids without an edge keep themselves.
+
+    ``hot`` lists ids with very many rows when known, else they are looked for.
+    """
     known = resolved.select(F.col("old").alias("_old"), F.col("canonical").alias("_canonical"))
     own: Column = F.col(id_column)
-    joined = spread_join(df, known, id_column, "_old", "left")
+    joined = spread_join(df, known, id_column, "_old", "left", hot)
     return joined.withColumn(output, F.coalesce("_canonical", own)).drop("_old", "_canonical")

@@ -15,7 +15,8 @@ class Lookup:
     """A table with one row per ``on`` value, joined to the driver on ``driver_key``.
 
     ``take`` names the columns to bring, ``defaults`` what stands for a missing one.
-    ``driver_unique`` says that the driver has one row per key too, so none is hot.
+    ``driver_unique`` says that the driver has one row per key too, so none is hot;
+    ``hot`` lists the keys of very many driver rows when known, else they are looked for.
     """
 
     df: DataFrame
@@ -25,6 +26,7 @@ class Lookup:
     defaults: dict[str, Column] = field(default_factory=dict)
     found_flag: tuple[str, str, str] | None = None
     driver_unique: bool = False
+    hot: list | None = None
 
 
 def child_summary(children: DataFrame, parent: str, date: str, count_as: str, latest_as: str) -> DataFrame:
@@ -52,7 +54,7 @@ def build_dim(driver: DataFrame, lookups: list[Lookup]) -> DataFrame:
         if lookup.driver_unique:
             out = out.join(side, F.col(lookup.driver_key) == F.col(key), "left")
         else:
-            hot = hot_keys(driver, lookup.driver_key)
+            hot = hot_keys(driver, lookup.driver_key) if lookup.hot is None else lookup.hot
             out = spread_join(out, side, lookup.driver_key, key, "left", hot)
         new = {}
         for old, name in lookup.take.items():

@@ -17,7 +17,11 @@ def read_increment(
     """
     if target is None:
         return source
-    bound = target.agg(F.max(target_ts or source_ts)).first()[0]
+    return newer_than(source, source_ts, target.agg(F.max(target_ts or source_ts)).first()[0])
+
+
+def newer_than(source: DataFrame, source_ts: str, bound) -> DataFrame:
+    """Source rows after a mark; all of them without one."""
     if bound is None:
         return source
     kind = source.schema[source_ts].dataType

@@ -46,23 +46,17 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counts.unpivot([], columns, "column_name", "n_null")
 
 
-def check_mandatory(df: DataFrame, columns: list[str], table: str) -> None:
-    """Raise, naming the columns and counts, when a mandatory column holds NULLs."""
-    if not columns:
-        return
-    found = {r.column_name: r.n_null for r in null_counts(df, columns).collect() if r.n_null}
-    if found:
-        raise ValueError(f"{table}: NULL in mandatory columns {found}; nothing was written")
-
-
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """(check_name, n, check_limit, level), all checks in one scan of ``df``."""
-    names = [c.name for c in checks]
-    counts = df.agg(*[F.coalesce(c.count.cast("bigint"), F.lit(0)).alias(c.name) for c in checks])
+    return judged(df.agg(*[F.coalesce(c.count.cast("bigint"), F.lit(0)).alias(c.name) for c in checks]), checks)
+
+
+def judged(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """The report of one row of counts, a column for each check."""
     limits = F.create_map(
         *[x for c in checks for x in (F.lit(c.name), F.lit(c.limit).cast("bigint"))]
     )
-    long = counts.unpivot([], names, "check_name", "n")
+    long = counts.unpivot([], [c.name for c in checks], "check_name", "n")
     limit = limits[F.col("check_name")]
     return long.withColumn("check_limit", limit).withColumn(
         "level",
@@ -76,7 +70,7 @@ def enforce(report: DataFrame, label: str) -> dict[str, int]:
     """Counts by check name; raises after all checks when one passed its limit."""
     rows = report.collect()
     results = {r.check_name: r.n for r in rows}
-    failed = [f"{r.check_name}={r.n} (limit {r.check_limit})" for r in rows if r.level == "FALHA"]
+    failed = [f"{r.check_name}={r.n} (limit {r.check_limit})" for r in rows if r.level == FAILED]
     if failed:
         raise DataQualityError(f"{label}: " + "; ".join(failed), results)
     return results

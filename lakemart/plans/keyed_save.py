@@ -17,6 +17,7 @@ from lakemart.operators.keyed import (
     same_key,
     upsert,
 )
+from lakemart.plans.key_index import folders_with, zones
 from lakemart.plans.lineage import scratch
 from lakemart.plans.store import TableStore, with_folder
 
@@ -83,23 +84,26 @@ def _upsert_partitions(store, table, current, batch, keys, partition_by, key_dec
     """Rewrite only the partitions holding replaced rows or receiving new ones."""
     own = batch.select(*partition_by).distinct()
     if not key_decides_partition:
-        replaced = current.join(keyed_side(batch, keys), same_key(keys), "left_semi")
+        # A row may move: its old place is looked for where its key can be.
+        possible = folders_with(store, table, batch, keys)
+        searched = zones(store, table, keys).rows_of(possible)
+        replaced = searched.join(keyed_side(batch, keys), same_key(keys), "left_semi")
         own = own.union(replaced.select(*partition_by)).distinct()
-    affected = current.filter(_in_partitions([tuple(r) for r in own.collect()], partition_by))
+    affected = current.filter(in_partitions([tuple(r) for r in own.collect()], partition_by))
     touched = with_folder(affected).select(*partition_by, "_folder").distinct().collect()
     store.replace_partitions(upsert(affected, batch, keys), table, partition_by, touched)
 
 
-def _in_partitions(values: list[tuple], names: list[str]) -> Column:
-    """Literal predicate on the partition columns, so the scan is pruned."""
+def in_partitions(values: list[tuple], names: list[str]) -> Column:
+    """Literal predicate on the partition columns, so the scan is pruned; never NULL."""
     if not values:
         return F.lit(False)
     if len(names) == 1:
         firsts = [v[0] for v in values if v[0] is not None]
-        hit = F.col(names[0]).isin(*firsts) if firsts else F.lit(False)
+        hit = F.col(names[0]).isNotNull() & F.col(names[0]).isin(*firsts) if firsts else F.lit(False)
         return hit | F.col(names[0]).isNull() if len(firsts) < len(values) else hit
     groups: dict = {}
     for first, *rest in values:
         groups.setdefault(first, []).append(tuple(rest))
-    parts = [F.col(names[0]).eqNullSafe(v) & _in_partitions(rest, names[1:]) for v, rest in groups.items()]
+    parts = [F.col(names[0]).eqNullSafe(v) & in_partitions(rest, names[1:]) for v, rest in groups.items()]
     return reduce(lambda a, b: a | b, parts)

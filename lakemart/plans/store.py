@@ -135,40 +135,46 @@ class TableStore:
         # Inside the table's folder: what recovery needs must live as long as the table.
         staged = f"{self.root}/{table}/stage-{uuid.uuid4().hex}"
         gathered(df, partition_by).write.partitionBy(*partition_by).parquet(staged)
-        present = {
-            tuple(r)
-            for r in self.spark.read.schema(df.schema)
-            .parquet(staged)
-            .select(*partition_by)
-            .distinct()
-            .collect()
-        }
-        emptied = [r["_folder"] for r in touched if tuple(r[c] for c in partition_by) not in present]
+        written = self._folders(staged, len(partition_by))
+        emptied = [
+            r["_folder"]
+            for r in touched
+            if self._from_uri(r["_folder"]).toString().split("/")[-len(partition_by) :] not in written
+        ]
         intent = {"staged": staged, "by": list(partition_by), "emptied": emptied}
         self._write_json(
             f"{self.root}/{table}/replacing.json", intent | {"schema": df.schema.jsonValue()}
         )
         self.recover(table)
 
+    def _from_uri(self, encoded: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.spark._jvm.java.net.URI(encoded))
+
+    def _folders(self, location: str, depth: int) -> list[list[str]]:
+        """Names of the partition folders below a location, level by level."""
+        found = self._fs(location).globStatus(self._path(location + "/*=*" * depth))
+        return [f.getPath().toString().split("/")[-depth:] for f in (found or [])]
+
     def recover(self, table: str) -> None:
-        """Finish a replacement that was interrupted; for the one writer of the table."""
+        """Finish a replacement that was interrupted; for the one writer of the table.
+
+        Staged folders hold whole partitions, written once: each takes the place of the one
+        of its name. One that is no longer there has been moved already.
+        """
         marker = f"{self.root}/{table}/replacing.json"
         intent = self._read_json(marker)
         if intent is None:
             return
-        schema = StructType.fromJson(intent["schema"])
-        staged = self.spark.read.schema(schema).parquet(intent["staged"])
-        self._add_columns(table, schema)
-        (
-            # Staged files already hold the rows of one partition each.
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*intent["by"])
-            .parquet(self.location(table))
-        )
+        self._add_columns(table, StructType.fromJson(intent["schema"]))
+        fs, location = self._fs(self.root), self.location(table)
+        for names in self._folders(intent["staged"], len(intent["by"])):
+            source, target = (self._path("/".join([base, *names])) for base in (intent["staged"], location))
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise OSError(f"{source} could not be moved to {target}")
         for folder in intent["emptied"]:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.spark._jvm.java.net.URI(folder))
-            self._fs(self.root).delete(path, True)
+            fs.delete(self._from_uri(folder), True)
         delete(self.spark, marker)
         delete(self.spark, intent["staged"])
 

@@ -89,6 +89,8 @@ def dimension(t, events=None):
                 "n_nationkey",
                 {"n_name": "nation", "r_name": "region"},
                 {"nation": F.lit(UNKNOWN), "region": F.lit(UNKNOWN)},
+                # A handful of nations is broadcast, so no nation can be too much for one task.
+                hot=[],
             ),
             Lookup(
                 children,
@@ -179,7 +181,8 @@ def propagate_end_to_end(t):
     """The stored fact with old attributes, brought up to date; equals a full rebuild."""
     until = F.col("o_orderdate") <= F.lit(CUTOFF).cast("timestamp_ntz")
     fresh_dim, stored_dim = both_dimensions(t)
-    stored = build_fact(quotes(t).filter(until), stored_dim, "c_custkey")
+    # Both sides are read from written tables or scans, so adaptive execution can split a hot member.
+    stored = build_fact(quotes(t).filter(until), stored_dim, "c_custkey", hot=[])
     return upsert(stored, _fresh_facts(t, fresh_dim, stored_dim), ["c_custkey", "o_orderkey"])
 
 
