@@ -126,8 +126,10 @@ def run_silver(
     fresh = newer_than(bronze.read(spec.feed), "bronze_ingestion_timestamp", bound)
     df = spec.transform(fresh, as_of)
     with scratch(silver_store.spark) as cut:
+        paths = None
         if spec.feed == "migrations":
-            df = silver.with_canonical(df, stored, cut)
+            known = silver_store.read_or_none(f"{table}__walks")
+            df, paths = silver.with_canonical(df, stored, cut, known)
         save_keyed(
             df,
             silver_store,
@@ -139,6 +141,9 @@ def run_silver(
             allow_break=allow_break,
             key_decides_partition=spec.key_decides_partition,
         )
+        if paths is not None:
+            # After the events: walks of an earlier state are brought up to date next time.
+            silver_store.overwrite(paths, f"{table}__walks")
 
 
 def run_gold(silver_store: TableStore, gold_store: TableStore, rebuild: bool = False, clock=utc_now):

@@ -33,7 +33,8 @@ from lakemart.functions.values import (
     parse_timestamp,
     trimmed_blank_to_default,
 )
-from lakemart.operators.chain import attach_canonical, latest_edges, resolve_chain
+from lakemart.operators.chain import attach_canonical, ended_at, latest_edges, walks
+from lakemart.operators.closure import update_closure
 from lakemart.plans.lineage import cut_lineage
 
 
@@ -185,10 +186,14 @@ def migrations(df: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     return normalise_columns(_contract(df, columns, names), ["NME_CARTA_ASSOCIADA", "NME_FONTE"])
 
 
-def with_canonical(batch: DataFrame, stored: DataFrame | None = None, cut=cut_lineage) -> DataFrame:
-    """Attach the final id, from the edges of the batch and of the stored events.
+def with_canonical(
+    batch: DataFrame, stored: DataFrame | None = None, cut=cut_lineage, known: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The batch with final ids, and the walks (old, path) that gave them.
 
-    ``cut`` writes the batch and its edges, each used more than once.
+    Edges come from the batch and the stored events. ``known`` are the walks of the last run:
+    only those that a changed edge reaches are taken again. ``cut`` writes what is used more
+    than once.
     """
     batch = cut(batch, "moves")
     needed = ["NME_ESTRATEGIA_MIGRACAO", "ID_CARTA_ANTIGO", "ID_CARTA_NOVO", "DT_EXECUCAO", "ID_MIGRACAO"]
@@ -196,7 +201,13 @@ def with_canonical(batch: DataFrame, stored: DataFrame | None = None, cut=cut_li
     if stored is not None:
         events = events.union(stored.select(*needed))
     merges = events.filter(F.col("NME_ESTRATEGIA_MIGRACAO") == sc.STRATEGIES["merge"])
-    edges = latest_edges(merges, "ID_CARTA_ANTIGO", "ID_CARTA_NOVO", ["DT_EXECUCAO", "ID_MIGRACAO"])
-    final = resolve_chain(cut(edges, "edges"))
-    resolved = attach_canonical(batch, final, "ID_CARTA_ANTIGO", "ID_CARTA_CANONICO")
-    return resolved.select(*sc.MIGRATIONS)
+    edges = cut(latest_edges(merges, "ID_CARTA_ANTIGO", "ID_CARTA_NOVO", ["DT_EXECUCAO", "ID_MIGRACAO"]), "edges")
+    if known is None:
+        paths = walks(edges)
+    else:
+        before = known.select("old", F.col("path")[0].alias("new"))
+        paths = update_closure(known, before, edges, cut=cut)
+    paths = cut(paths, "walks")
+    # Both sides are written tables or shuffled for the join, so a hot id can be split.
+    resolved = attach_canonical(batch, ended_at(paths), "ID_CARTA_ANTIGO", "ID_CARTA_CANONICO", hot=[])
+    return resolved.select(*sc.MIGRATIONS), paths

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lakemart.functions.paths import normalise_path, path_name
+from lakemart.operators.contract import ContractViolation
 from lakemart.operators.dimension import build_fact
 from lakemart.operators.quality import Check, enforce, run_checks
 from lakemart.plans.bronze import load_new_snapshots
@@ -19,7 +20,7 @@ from lakemart.plans.runlog import AUDIT_TABLE, RUN_LOG, audit_run, run_logged
 from lakemart.plans.store import TableStore
 from lakemart.queries.marts import CUTOFF, DIM_SQL, FACT_SQL, dimension, quotes, stored_dimension
 from lakemart.queries.registry import query
-from lakemart.sources.json_source import rejected_lines
+from lakemart.sources.json_source import rejected_lines, scan_jsonl, scan_pages
 from lakemart.sources.snapshots import list_snapshots
 
 RUN_TS = dt.datetime(2026, 9, 5, 10, 30)
@@ -175,3 +176,87 @@ def audit_rows(t):
             pass
     columns = ["NME_TABELA", "QTD_LIDOS", "QTD_PROCESSADOS", "QTD_INSERIDOS_ATUALIZADOS", "DESC_STATUS"]
     return store.read(AUDIT_TABLE).select(*columns)
+
+
+_EVENT = StructType.fromDDL("event_id long, user_id long, value double, event_type string")
+
+
+@query("json_lines", "SELECT event_id, user_id, value, event_type FROM events")
+def json_lines(t):
+    """All events written as lines of JSON, compressed, and scanned with their schema."""
+    folder = new_path(t.spark, "lines")
+    t.events.select(_EVENT.names).write.option("compression", "gzip").json(folder)
+    return scan_jsonl(t.spark, folder, _EVENT, spread=True)
+
+
+_PAGE = 100
+
+
+@query(
+    "json_pages",
+    f"""SELECT c_custkey, c_name, c_custkey // {_PAGE} AS page,
+               row_number() OVER (PARTITION BY c_custkey // {_PAGE} ORDER BY c_custkey) - 1 AS position FROM customer""",
+)
+def json_pages(t):
+    """Customers as documents of a hundred, each a page of a numbered list, and back."""
+    folder = new_path(t.spark, "pages")
+    item = F.sort_array(F.collect_list(F.struct("c_custkey", "c_name")))
+    pages = t.customer.groupBy(F.expr(f"c_custkey div {_PAGE}").alias("page")).agg(item.alias("data"))
+    # Pages are one file each.
+    (
+        pages.withColumn("has_more", F.lit(False))
+        .repartition(F.col("page"))
+        .withColumn("document", F.to_json(F.struct("page", "has_more", "data")))
+        .select("document", F.lpad(F.col("page").cast("string"), 9, "0").alias("file"))
+        .write.partitionBy("file")
+        .text(folder)
+    )
+    rows = scan_pages(t.spark, folder, StructType.fromDDL("c_custkey long, c_name string"))
+    return rows.select("c_custkey", "c_name", F.expr(f"c_custkey div {_PAGE}").alias("page"), F.col("_position").cast("long").alias("position"))
+
+
+@query(
+    "bronze_ledger",
+    f"""WITH m AS (SELECT count(DISTINCT {_MONTH}) AS files, count(*) AS n FROM orders)
+        SELECT 'orders' AS table_name, 'SUCCESS' AS status, files AS files_processed, n AS records_read, n AS records_written FROM m
+        UNION ALL SELECT 'orders', 'SUCCESS', 0, 0, 0""",
+)
+def bronze_ledger(t):
+    """The ledger of a load of all snapshots and of one that finds nothing new."""
+    store = _store(t, "bronze")
+    orders = t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_day"))
+    land_snapshot(orders, f"{store.root}/stage", "orders", RUN_TS, date_column="o_day")
+    for load_ts in (RUN_TS, LATER):
+        load_new_snapshots(store, f"{store.root}/stage", "orders", load_ts)
+    return store.read(RUN_LOG).select("table_name", "status", "files_processed", "records_read", "records_written")
+
+
+@query(
+    "contract_break",
+    """SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) || '-x' AS code, year(o_orderdate)::INTEGER AS y FROM orders
+       WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, CAST(o_custkey AS VARCHAR), year(o_orderdate)::INTEGER
+       FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def contract_break(t):
+    """A batch that retypes a column, refused by the contract and then let in with ``allow_break``."""
+    store = _store(t, "contract")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
+    numbers = orders.select("o_orderkey", F.col("o_custkey").alias("code"), "y")
+    finished = orders.filter("o_orderstatus = 'F'")
+    texts = finished.select("o_orderkey", F.concat(F.col("o_orderkey").cast("string"), F.lit("-x")).alias("code"), "y")
+    save_keyed(numbers, store, "orders", ["o_orderkey"], partition_by=["y"])
+    try:
+        save_keyed(texts, store, "orders", ["o_orderkey"], partition_by=["y"])
+    except ContractViolation:
+        # Refused without leave; nothing was written.
+        save_keyed(texts, store, "orders", ["o_orderkey"], partition_by=["y"], allow_break=True)
+    return store.read("orders")
+
+
+@query("overwrite_unkeyed", "SELECT event_type, count(*) AS n FROM events WHERE value > 50 GROUP BY 1")
+def overwrite_unkeyed(t):
+    """A table without a key is replaced by each save, also by one that reads it."""
+    store = _store(t, "unkeyed")
+    save_keyed(t.events.select("event_type", "value"), store, "events")
+    save_keyed(store.read("events").filter("value > 50"), store, "events")
+    return store.read("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))

@@ -262,7 +262,7 @@ def silver_migrations(t):
     )
     raw = _as_feed(t.orders, sc.RAW_MIGRATION, record)
     rows = silver.migrations(_bronze(stage.migrations(raw), "migrations"))
-    return dedup_latest(silver.with_canonical(rows), ["ID_MIGRACAO"], "DT_INGESTAO")
+    return dedup_latest(silver.with_canonical(rows)[0], ["ID_MIGRACAO"], "DT_INGESTAO")
 
 
 @query("recipe_migrations", f"{_MOVES} SELECT * FROM moves")
