@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.meeting import CHUNK, Rows, groups, meet, valid_vectors
+from lakemart.llm.meeting import CHUNK, Rows, groups, meet, usual_width, valid_vectors
 from lakemart.plans.lineage import cut_lineage
 
 #: Rows (by the hash of their id) that centroids and bounds are fitted on.
@@ -172,7 +172,7 @@ def search(
     """(query_id, rank, vec_id, score): the k nearest found of each query but itself.
 
     ``queries`` are rows like ``vectors``. Rows without an id, and vectors that are NULL,
-    zero, empty, not finite or of another length than the sample's take no part; rows that
+    zero, empty, not finite or of another length than most have take no part; rows that
     repeat both id and vector count once. Of equal vectors the k + 1 smallest ids are
     indexed: no answer can hold more. Equal queries are searched once.
     """
@@ -184,17 +184,16 @@ def search(
         return valid_vectors(rows.where("id is not null"), "vector")
 
     rows = usable(vectors)
+    width = usual_width(rows, "vector")
+    rows = rows.where(F.size("vector") == width)
     chosen = rows.orderBy(F.xxhash64("id", F.lit(7)), "id", "vector").limit(SAMPLE).collect()
     if not chosen:
         return rows.select(
             F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"),
             F.lit(0.0).alias("score"),
         )
-    width = len(chosen[0]["vector"])
-    chosen = [row for row in chosen if len(row["vector"]) == width]
     sample = np.array([row["vector"] for row in chosen], np.float64)
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    rows = rows.where(F.size("vector") == width)
     longest = rows.agg(F.sqrt(F.max(square)).alias("m")).first()["m"]
     space = Space(np.array([row["id"] for row in chosen]), sample, longest, lists)
     equal = Window.partitionBy("vector").orderBy("id")
@@ -210,7 +209,11 @@ def search(
     probing = asking.select(F.explode(near).alias("list"), "id", *common)
     schema = "query long, vec_id long, score double"
     found = meet(index, probing, ["list"], _worker(space, k + 1), schema)
-    known = asking.select("id", *common).mapInArrow(_sample_worker(space, k + 1), schema)
+    found = cut_lineage(found, "found")
+    # Only queries whose lists hold fewer rows within their bound than they want.
+    answered = found.groupBy("query").count().where(F.col("count") > k)
+    wanting = asking.join(answered, F.col("id") == F.col("query"), "left_anti")
+    known = wanting.select("id", *common).mapInArrow(_sample_worker(space, k + 1), schema)
     # Equal but for rounding, so a row that is found both ways counts once.
     found = found.unionAll(known).groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

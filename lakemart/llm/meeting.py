@@ -48,6 +48,13 @@ def valid_vectors(rows: DataFrame, vector: str) -> DataFrame:
     return rows.where(F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0))
 
 
+def usual_width(rows: DataFrame, vector: str) -> int:
+    """The most frequent length of the vectors, of equally frequent ones the greatest; 0 without any."""
+    widths = rows.groupBy(F.size(vector).alias("width")).count()
+    found = widths.orderBy(F.desc("count"), F.desc("width")).first()
+    return found["width"] if found else 0
+
+
 def meet(
     index: DataFrame,
     queries: DataFrame,

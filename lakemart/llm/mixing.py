@@ -16,6 +16,7 @@ from the posterior and the short list of step vectors.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from functools import reduce
 
@@ -37,8 +38,12 @@ RIDGE = 0.0001
 #: Parts into which a posterior is rounded for the rates.
 GRID = 64
 #: Steps at most, and the share of all words by which totals may miss the targets.
-STEPS = 25
+STEPS = 200
 TOLERANCE = 1e-6
+#: Steps that don't come nearer to the targets after which the fit ends.
+PATIENCE = 8
+
+log = logging.getLogger(__name__)
 
 _SHAPE = ("capitals", "symbols", "repeats", "word_length", "digits", "stops")
 
@@ -155,7 +160,10 @@ def _cell(posterior: Column) -> Column:
 def fit_steps(members: DataFrame, shares: list[float]) -> list[np.ndarray]:
     """Step vectors for rows with _n words and posterior _p, towards ``shares`` of the words.
 
-    The total is the largest for which no wanted domain has to be repeated on average.
+    The total is the largest for which no wanted domain has to be repeated on average. A wanted
+    domain that no document can be of is left out, with a warning; so is what remains
+    when the steps no longer come nearer to the targets. Each step is that of the least
+    squares over the cells whose rate is not 0 yet.
     """
     size = len(shares)
     cells = members.groupBy(_cell(F.col("_p")).alias("_cell")).agg(
@@ -163,30 +171,43 @@ def fit_steps(members: DataFrame, shares: list[float]) -> list[np.ndarray]:
         *(F.sum(F.col("_n") * F.col("_p")[k]).alias(f"_e{k}") for k in range(size)),
     )
     cells = cut_lineage(cells, "cells")
-    cross = [
-        F.sum(F.col("_n") * F.col("_cell")[i] * F.col("_cell")[j]).alias(f"x{i}_{j}")
-        for i in range(size)
-        for j in range(size)
-    ]
-    totals = cells.agg(*(F.sum(f"_e{k}").alias(f"e{k}") for k in range(size)), *cross).first()
-    expected = np.array([totals[f"e{k}"] or 0.0 for k in range(size)])
+
+    def totals(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of each domain at the present rates, and the matrix of the cells that count."""
+        rate = cells.withColumn("r", rate_of(F.col("_cell"), steps))
+        active = F.when(F.col("r") > 0, F.col("_n")).otherwise(0.0)
+        row = rate.agg(
+            *(F.sum(F.col("r") * F.col(f"_e{k}")) for k in range(size)),
+            *(F.sum(active * F.col("_cell")[i] * F.col("_cell")[j]) for i in range(size) for j in range(size)),
+        ).first()
+        found = np.array([x or 0.0 for x in row], float)
+        return found[:size], found[size:].reshape(size, size)
+
+    expected, matrix = totals([])
     every = expected.sum()
     if every <= 0:
         return []
     wanted = np.array(shares, float) / sum(shares)
+    absent = (wanted > 0) & (expected <= 1e-9 * every)
+    if absent.any():
+        log.warning("no document is of the wanted domains at %s", np.flatnonzero(absent).tolist())
+        wanted = np.where(absent, 0.0, wanted)
+        if not wanted.any():
+            return []
+        wanted /= wanted.sum()
     target = wanted * min(expected[k] / wanted[k] for k in range(size) if wanted[k] > 0)
-    matrix = np.array([[totals[f"x{i}_{j}"] or 0.0 for j in range(size)] for i in range(size)])
-    inverse = np.linalg.inv(matrix + 1e-9 * every * np.eye(size))
     steps: list[np.ndarray] = []
-    while len(steps) < STEPS:
-        rate = rate_of(F.col("_cell"), steps)
-        sums = cells.select(rate.alias("r"), *(f"_e{k}" for k in range(size)))
-        sums = sums.agg(*(F.sum(F.col("r") * F.col(f"_e{k}")).alias(f"e{k}") for k in range(size)))
-        reached = np.array(sums.first(), float)
-        if np.abs(reached - target).max() <= TOLERANCE * every:
-            break
-        steps.append(inverse @ (reached - target))
-    return steps
+    reached, best, since = expected, np.inf, 0
+    while True:
+        missed = np.abs(reached - target)[~absent].max() / every
+        if missed <= TOLERANCE:
+            return steps
+        best, since = (missed, 0) if missed < 0.99 * best else (best, since + 1)
+        if since >= PATIENCE or len(steps) >= STEPS:
+            log.warning("mixing misses its targets by %.3g of all words", missed)
+            return steps
+        steps.append(np.linalg.solve(matrix + 1e-9 * every * np.eye(size), reached - target))
+        reached, matrix = totals(steps)
 
 
 def rates(members: DataFrame, steps: list[np.ndarray]) -> DataFrame:

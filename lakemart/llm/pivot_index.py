@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.bk_forest import spanning_links
 from lakemart.llm.components import smallest_reachable
-from lakemart.llm.meeting import Rows, groups, meet, valid_vectors
+from lakemart.llm.meeting import Rows, groups, meet, usual_width, valid_vectors
 from lakemart.plans.lineage import cut_lineage
 
 #: Reference points (vectors of the table, by the hash of their id).
@@ -134,7 +134,7 @@ def near_duplicates(
 
     Links join vectors with the same label (not NULL) whose cosine in double precision is
     ``least`` or more. NULL, zero, empty or not finite vectors, those of another length than
-    the reference points and rows without an id link with nothing and are their own
+    most vectors have and rows without an id link with nothing and are their own
     component. Rows that share an id and a vector count as vectors that are linked;
     rows that share only the id are one node of the components.
     """
@@ -144,12 +144,14 @@ def near_duplicates(
         F.col(label).alias("label"),
     )
     usable = valid_vectors(rows.where("vec_id is not null and label is not null"), "vector")
-    chosen = usable.orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id", "vector").limit(pivots).collect()
+    width = usual_width(usable, "vector")
+    regular = usable.where(F.size("vector") == width)
+    chosen = regular.orderBy(F.xxhash64("vec_id", F.lit(7)), "vec_id", "vector").limit(pivots).collect()
     points = [np.array(row["vector"], np.float64) for row in chosen]
-    width = len(points[0]) if points else 0
-    points = [point for point in points if len(point) == width]
     prefix = min(prefix, len(points))
-    entries = usable.where(F.size("vector") == width).groupBy("label", "vector")
+    # With fewer pivots than that, copies share all there are.
+    shared = min(shared, prefix)
+    entries = regular.groupBy("label", "vector")
     entries = entries.agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
     if not points:
         empty = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"))

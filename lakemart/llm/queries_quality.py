@@ -55,11 +55,11 @@ def fitted_domains(spark: SparkSession, docs: DataFrame, folder: str) -> Domains
 def soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = fitted_domains(spark, docs, folder).posteriors(docs)
-    members = cut_lineage(found.select("doc_id", "_n", "_p"), "members")
+    members = cut_lineage(found.select("doc_id", "_n", "_p", F.xxhash64("text").alias("_hash")), "members")
     return rates(members, fit_steps(members, list(TARGETS.values()))).select(
         "doc_id",
         F.col("_n").alias("n_words"),
         *(F.col("_p")[i].alias(f"p_{name}") for i, name in enumerate(TARGETS)),
         "rate",
-        copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+        copies(F.col("rate"), F.col("doc_id"), F.col("_hash")).alias("copies"),
     )

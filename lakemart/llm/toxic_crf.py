@@ -250,8 +250,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from (doc_id, text) and (doc_id, toxic 0/1); rows with NULL there don't count.
 
-    Of each class the ``sample`` documents with the smallest hashes of their ids are read.
-    Without documents of both classes, every text gets the share of toxic ones as score.
+    Of each class the ``sample`` documents with the smallest hashes of their ids are read, one
+    row of each id; the field is fitted on windows of their tokens. Without documents of both classes, every text gets the share of toxic ones as score.
     """
     text_batches(docs.sparkSession)
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
@@ -261,9 +261,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     order = [F.xxhash64("doc_id", F.lit(5)), F.col("doc_id")]
     chosen = labels.where("toxic = 1").orderBy(*order).limit(sample)
     chosen = chosen.unionAll(labels.where("toxic = 0").orderBy(*order).limit(sample))
-    # At most 2 * sample rows of two numbers.
+    # At most 2 * sample rows of two numbers. Of the rows of an id one text is read, however
+    # many they are: the least by its hash, taken before the shuffle.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    texts = texts.select("text", "toxic", F.xxhash64("doc_id").alias("key"))
+    one = F.min(F.struct(F.xxhash64("text"), "text")).alias("one")
+    texts = texts.groupBy("doc_id", "toxic").agg(one)
+    texts = texts.select("one.text", "toxic", F.xxhash64("doc_id").alias("key"))
     texts = cut_lineage(texts, "toxic-sample")
     seeds = _seeds(texts) if shares.get(1) and shares.get(0) else set()
     weights, transitions = np.zeros(BUCKETS), np.zeros((2, 2))
