@@ -88,6 +88,30 @@ def changed_ids(fresh: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return joined.filter(~same).select(key)
 
 
+def row_print(df: DataFrame) -> Column:
+    """SHA-256 of a row: each column with its type and length before it, NULL as a dash."""
+    parts = []
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        plain = F.to_json(F.struct(f.name)) if "<" in kind else F.col(f.name).cast("string")
+        value = F.when(F.col(f.name).isNotNull(), plain)
+        sized = F.concat(F.lit(f"{kind}:"), F.octet_length(value).cast("string"), F.lit(":"), value)
+        parts.append(F.coalesce(sized, F.lit("-")))
+    return F.sha2(F.concat(*parts), 256)
+
+
+def member_prints(dim: DataFrame, key: str) -> DataFrame:
+    """(key, row_print): all that a later run needs to know of the members."""
+    return dim.select(key, row_print(dim).alias("row_print"))
+
+
+def changed_prints(fresh: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Ids of new or altered members, from the ``member_prints`` of both; as ``changed_ids`` of the rows."""
+    old = stored.select(F.col(key).alias("_old_key"), F.col("row_print").alias("_old_print"))
+    joined = fresh.join(old, F.col(key).eqNullSafe(F.col("_old_key")), "left")
+    return joined.filter(~F.col("row_print").eqNullSafe(F.col("_old_print"))).select(key)
+
+
 def incremental_slice(
     quotes: DataFrame,
     changed: DataFrame,

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from lakemart.operators.contract import check_contract
-from lakemart.operators.dimension import changed_ids, incremental_slice
+from lakemart.operators.dimension import changed_ids, changed_prints, incremental_slice, member_prints
 from lakemart.operators.keyed import check_keys
 from lakemart.plans.counters import heavy_keys, newest
 from lakemart.plans.counts import RowCount
@@ -81,13 +81,22 @@ def refresh_mart(
         increment = may_increment(rebuild, store.exists(spec.fact_table), stored_columns, dim.columns)
         prints = _source_prints(spec, source, cut) if source is not None else None
         made_from = store.read_or_none(_made_from(spec)) if prints is not None else None
+        # Two narrow columns instead of the stored dimension, where a run has left them.
+        members = cut(member_prints(dim, spec.key), "members")
+        known = store.read_or_none(_members(spec))
+
+        def changed_members() -> DataFrame:
+            if known is None:
+                return cut(changed_ids(dim, stored_dim, spec.key), "changed")
+            return cut(changed_prints(members, known, spec.key), "changed")
+
         if increment and made_from is not None:
-            changed = cut(changed_ids(dim, stored_dim, spec.key), "changed")
+            changed = changed_members()
             processed = _refresh_differing(store, spec, dim, quotes, changed, prints, made_from)
         else:
             cutoff = newest(store, spec.fact_table, spec.fact_time) if increment else None
             if cutoff is not None:
-                changed = cut(changed_ids(dim, stored_dim, spec.key), "changed")
+                changed = changed_members()
                 quotes = incremental_slice(
                     quotes, changed, spec.key, spec.quote_time, cutoff, spec.quote_year
                 )
@@ -110,9 +119,15 @@ def refresh_mart(
             on_duplicate="abort",
             mode="overwrite",
         )
+        # Last: prints that are older than the dimension only show more changes than there are.
+        store.overwrite(members, _members(spec))
         return processed
 
 
+def _members(spec: MartSpec) -> str:
+    return f"{spec.dim_table}__members"
+
+
 def _made_from(spec: MartSpec) -> str:
     return f"{spec.fact_table}__made_from"
 

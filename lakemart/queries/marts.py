@@ -17,9 +17,11 @@ from lakemart.operators.dimension import (
     build_dim,
     build_fact,
     changed_ids,
+    changed_prints,
     child_summary,
     incremental_slice,
     latest_event,
+    member_prints,
     missing_members,
 )
 from lakemart.operators.keyed import upsert
@@ -161,6 +163,13 @@ def dim_changed_ids(t):
     return changed_ids(dimension(t), stored_dimension(t), "c_custkey")
 
 
+@query("dim_changed_prints", f"WITH {DIM_SQL}, {_OLD_DIM}, {_CHANGED} SELECT c_custkey FROM changed")
+def dim_changed_prints(t):
+    """The same from stored prints of the members."""
+    stored = cut_lineage(member_prints(stored_dimension(t), "c_custkey"), "members")
+    return changed_prints(member_prints(dimension(t), "c_custkey"), stored, "c_custkey")
+
+
 def _fresh_facts(t, fresh, stored):
     changed = cut_lineage(changed_ids(fresh, stored, "c_custkey"), "changed")
     new = incremental_slice(quotes(t), changed, "c_custkey", "o_orderdate", CUTOFF, "quote_year")

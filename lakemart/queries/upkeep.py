@@ -22,6 +22,7 @@ from lakemart.plans.store import TableStore
 from lakemart.queries.marts import CUTOFF, DIM_SQL, FACT_SQL, dimension, quotes
 from lakemart.queries.registry import query
 from lakemart.queries.tables import _WALK, _rename_events
+from lakemart.streaming.keyed_stream import upsert_stream
 
 
 def _store(t, name: str) -> TableStore:
@@ -183,3 +184,25 @@ def chain_incremental(t):
     before, after = edges(events.filter(until)), edges(events)
     paths = cut_lineage(walks(before), "walks")
     return ended_at(update_closure(paths, before, after, cut=cut_lineage))
+
+
+@query(
+    "stream_upsert",
+    """SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS y, CASE
+           WHEN o_orderstatus = 'F' OR o_orderdate > TIMESTAMP '2000-06-01' THEN 'later' ELSE 'first' END AS load
+       FROM orders""",
+)
+def stream_upsert(t):
+    """Two appends to a Bronze table, each brought into a keyed one by a stream of micro-batches."""
+    store = _store(t, "stream")
+    orders = t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus", F.year("o_orderdate").alias("y"))
+    until = F.col("o_orderdate") <= F.lit(CUTOFF).cast("timestamp_ntz")
+    first = orders.filter(until).withColumn("load", F.lit("first"))
+    later = orders.filter(~until | (F.col("o_orderstatus") == "F")).withColumn("load", F.lit("later"))
+    for batch in (first, later):
+        store.append(batch.drop("o_orderstatus"), "bronze")
+        upsert_stream(
+            store, "bronze", store, "orders", ["o_orderkey"], f"{store.root}/checkpoint", partition_by=["y"],
+            order_by="o_orderdate", key_decides_partition=True,
+        )
+    return store.read("orders")

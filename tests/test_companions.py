@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import closure
 from lakemart.operators.chain import ended_at, resolve_chain, walks
+from lakemart.operators.dimension import changed_ids, changed_prints, member_prints
 from lakemart.operators.quality import Check, run_checks
 from lakemart.plans import companion, refcounts
 from lakemart.plans.counters import check_counters, check_table, heavy_keys, newest
@@ -16,6 +17,7 @@ from lakemart.plans.keyed_save import save_keyed
 from lakemart.plans.reconcile import differing_partitions, row_prints, stored_prints
 from lakemart.plans.refcounts import reference_counts, unmatched_counts
 from lakemart.plans.store import TableStore
+from lakemart.streaming.keyed_stream import save_batch, upsert_stream
 
 SCHEMA = "id string, part string, n int"
 
@@ -175,3 +177,38 @@ def test_closure_follows_random_edges(spark, seed):
         assert bag(ended_at(paths)) == bag(resolve_chain(frame(edges), limit))
     changed = closure.changed_edges(frame({1: 2}), frame({1: 2, 5: 6}))
     assert bag(changed) == [(5,)]
+
+
+def test_member_prints_see_types_nulls_and_new_members(spark):
+    schema = "id long, name string, n int, tags array<string>"
+    then = spark.createDataFrame([(1, "a", 1, ["x"]), (2, None, 1, None), (3, "-", 1, []), (4, "d", 1, ["y"])], schema)
+    now = spark.createDataFrame([(1, "a", 1, ["x"]), (2, "-", 1, None), (3, "-", 1, None), (5, "e", 1, None), (None, "f", 1, None)], schema)
+    found = changed_prints(member_prints(now, "id"), member_prints(then, "id"), "id")
+    assert bag(found) == bag(changed_ids(now, then, "id")) == sorted([(2,), (3,), (5,), (None,)], key=repr)
+    retyped = now.withColumn("n", F.col("n").cast("long"))
+    assert changed_prints(member_prints(retyped, "id"), member_prints(now, "id"), "id").count() == 5
+
+
+def test_a_repeated_batch_changes_nothing(spark, store):
+    first = spark.createDataFrame([("a", "p", 1), ("b", "q", 2)], SCHEMA)
+    other = spark.createDataFrame([("a", "p", 9)], SCHEMA)
+    save = {"keys": ["id"], "partition_by": ["part"]}
+    assert save_batch(first, 0, store, "t", "s", **save) and save_batch(other, 1, store, "t", "s", **save)
+    files = store.read("t").inputFiles()
+    assert not save_batch(first, 0, store, "t", "s", **save) and not save_batch(other, 1, store, "t", "s", **save)
+    assert store.read("t").inputFiles() == files
+    assert bag(store.read("t").select("id", "part", "n")) == [("a", "p", 9), ("b", "q", 2)]
+
+
+def test_stream_reads_one_folder_and_each_row_once(spark, store, tmp_path):
+    sizes = []
+
+    def seen(rows):
+        sizes.append(rows.count())
+        return rows
+
+    for k in range(3):
+        store.append(spark.createDataFrame([("a", "p", k), (f"b{k}", "q", k)], SCHEMA), "bronze")
+        upsert_stream(store, "bronze", store, "t", ["id"], str(tmp_path / "check"), transform=seen, order_by="n")
+    assert sizes == [2, 2, 2]
+    assert bag(store.read("t")) == [("a", "p", 2), ("b0", "q", 0), ("b1", "q", 1), ("b2", "q", 2)]
