@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.llm.columns import hashable, named
 from lakemart.llm.text_segments import release, text_batches
 
 #: Words on each side that a cutting word's hash has to be smaller than.
@@ -176,50 +177,67 @@ def _cut(text: Column, earlier: Column, least: int) -> Column:
 
 
 def _told_apart(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with ``_id``, NULL for rows without one, and ``_row``, a hash of the row.
+    """(rest, text, id, mark): a row's other columns as one, and ``mark``, a hash of the row.
 
-    ``_row`` orders rows without an id. Equal ones are counted, and each gets its own.
+    ``id`` is NULL for rows without one; ``mark`` orders these. Equal ones are counted, and each
+    gets its own.
     """
-    named = docs.where(F.col(doc_id).isNotNull()).withColumns(
-        {"_id": F.col(doc_id).cast("long"), "_row": F.xxhash64(F.lit(0), doc_id, text)}
+    keys = hashable(docs)
+    rows = docs.select(
+        F.struct(*(named(c) for c in docs.columns if c != text)).alias("rest"),
+        named(text).alias("text"),
+        named(doc_id).alias("own"),
+        F.xxhash64(F.lit(1), *keys).alias("k1"),
+        F.xxhash64(F.lit(2), *keys).alias("k2"),
     )
-    nameless = docs.where(F.col(doc_id).isNull()).groupBy(*docs.columns).agg(F.count("*").alias("_n"))
-    nameless = nameless.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).withColumns(
-        {"_id": F.lit(None).cast("long"), "_row": F.xxhash64(F.lit(1), *docs.columns, "_copy")}
+    known = rows.where("own is not null").select(
+        "rest", "text", F.col("own").cast("long").alias("id"), F.xxhash64(F.lit(0), "own", "text").alias("mark")
     )
-    return named.unionByName(nameless.drop("_n", "_copy"))
+    nameless = rows.where("own is null").groupBy("k1", "k2").agg(
+        F.any_value("rest").alias("rest"), F.any_value("text").alias("text"), F.count("*").alias("n")
+    )
+    nameless = nameless.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(
+        "rest", "text", F.lit(None).cast("long").alias("id"), F.xxhash64(F.lit(1), "k1", "k2", "copy").alias("mark")
+    )
+    return known.unionByName(nameless)
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_WORDS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    least: int = LEAST_WORDS,
+    removed: str = "removed",
 ) -> DataFrame:
     """``docs`` with its text cut and ``removed``, the spans of the original text that went.
 
     Rows of the same doc_id are one document and don't count as repeats of each other.
     Each row without an id is a document of its own; these come after all others, in the
     order of a hash of the row. NULL texts stay NULL, and a text that repeats as a whole
-    becomes empty; no row goes. An existing column ``removed`` is replaced.
+    becomes empty; no row goes. Columns may have any name and type; one that is called like
+    ``removed`` is replaced.
     """
     text_batches(docs.sparkSession)
     rows = _told_apart(docs, doc_id, text)
-    found = rows.select("_id", "_row", F.explode(_first_digests(F.col(text))).alias("_unit"))
+    found = rows.select("id", "mark", F.explode(_first_digests(F.col("text"))).alias("unit"))
     # One exchange serves the grouping and the join with what it found.
-    found = found.repartition("_unit")
-    order = F.when(F.col("_id").isNull(), F.col("_row"))
-    first = found.groupBy("_unit").agg(
-        F.min("_id").alias("_first"),
-        F.max("_id").alias("_last"),
-        F.min(order).alias("_next"),
-        F.max(order).alias("_end"),
+    found = found.repartition("unit")
+    order = F.when(F.col("id").isNull(), F.col("mark"))
+    first = found.groupBy("unit").agg(
+        F.min("id").alias("first"),
+        F.max("id").alias("last"),
+        F.min(order).alias("next"),
+        F.max(order).alias("end"),
     )
-    named, nameless = F.col("_first").isNotNull(), F.col("_next").isNotNull()
-    repeats = (named & nameless) | F.coalesce(F.col("_first") < F.col("_last"), F.col("_next") < F.col("_end"))
-    shared = first.where(repeats).select("_unit", "_first", "_next")
-    after = F.when(F.col("_id").isNull(), named | (F.col("_row") > F.col("_next")))
-    later = found.join(shared, "_unit").where(after.otherwise(F.col("_id") > F.col("_first")))
+    known, nameless = F.col("first").isNotNull(), F.col("next").isNotNull()
+    repeats = (known & nameless) | F.coalesce(F.col("first") < F.col("last"), F.col("next") < F.col("end"))
+    shared = first.where(repeats).select("unit", "first", "next")
+    after = F.when(F.col("id").isNull(), known | (F.col("mark") > F.col("next")))
+    later = found.join(shared, "unit").where(after.otherwise(F.col("id") > F.col("first")))
     # As many as a text has lines and units; a set, as equal rows of one id share them.
-    lists = later.groupBy("_row").agg(F.collect_set("_unit").alias("_earlier"))
-    cut = rows.join(lists, "_row", "left").withColumn("_cut", _cut(F.col(text), F.col("_earlier"), least))
-    return cut.withColumns({text: F.col("_cut.text"), "removed": F.col("_cut.removed")}).drop(
-        "_id", "_row", "_earlier", "_cut"
-    )
+    lists = later.groupBy("mark").agg(F.collect_set("unit").alias("earlier"))
+    cut = rows.join(lists, "mark", "left").withColumn("cut", _cut(F.col("text"), F.col("earlier"), least))
+    columns = [
+        F.col("cut.text").alias(c) if c == text else F.col("rest").getField(c).alias(c) for c in docs.columns if c != removed
+    ]
+    return cut.select(*columns, F.col("cut.removed").alias(removed))

@@ -28,6 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.llm.columns import named
 from lakemart.plans.lineage import cut_lineage
 
 #: Labelled documents of each domain that the classifier is fitted on, at most.
@@ -220,14 +221,16 @@ def rates(members: DataFrame, steps: list[np.ndarray]) -> DataFrame:
 
 
 def mixed(docs: DataFrame, domains: Domains, shares: list[float]) -> DataFrame:
-    """The rows of ``docs``, each as often as its rate says."""
-    found = domains.posteriors(docs)
+    """The rows of ``docs``, each as often as its rate says. Columns may have any name and type."""
+    rest = F.struct(*(named(c) for c in docs.columns if c != "text"))
+    found = domains.posteriors(docs.select(rest.alias("rest"), "text"))
     # The posteriors cost more to keep beside the texts than to compute a second time.
     steps = fit_steps(cut_lineage(found.select("_n", "_p"), "members"), shares)
-    times = copies(rate_of(_cell(F.col("_p")), steps), F.col("doc_id"), F.xxhash64("text"))
+    times = copies(rate_of(_cell(F.col("_p")), steps), F.col("rest").getField("doc_id"), F.xxhash64("text"))
     # A sequence from 1 up to 0 would count down.
     found = found.withColumn("_times", times).where("_times > 0")
-    return found.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    columns = [F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns]
+    return found.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*columns)
 
 
 def copies(rate: Column, *seed: Column) -> Column:
