@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.llm.columns import named, unused
 from lakemart.llm.line_dedup import dedup_lines
 from lakemart.llm.mixing import mixed
 from lakemart.llm.near_text import keep_one
@@ -30,8 +31,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out of the text; no row goes."""
-    cut = dedup_lines(docs)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cut = dedup_lines(docs, removed=unused(docs, "removed"))
+    chars = F.length("text").cast("long").alias("n_chars")
+    return cut.select(*(chars if c == "n_chars" else named(c) for c in docs.columns))
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
