@@ -170,30 +170,38 @@ def likeness(a: Column, b: Column) -> Column:
     return found.when(a.isNull() & b.isNull(), 1.0).otherwise(0.0)
 
 
-def _distinct(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, mark, text) of ``docs``; equal rows have equal (id, mark)."""
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(k1, k2, id, text) of ``docs``; equal rows have equal keys, which are never NULL, so that
+    grouping and joins by them need one shuffle."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(doc_id).alias("id"), F.xxhash64(whole, F.lit(1)).alias("mark"), whole.alias("text"))
+    nameless = F.col(doc_id).isNull()
+    return docs.select(
+        F.xxhash64(F.lit(1), nameless, F.col(doc_id), whole).alias("k1"),
+        F.xxhash64(whole, F.col(doc_id), nameless).alias("k2"),
+        F.col(doc_id).alias("id"),
+        whole.alias("text"),
+    )
 
 
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, mark, n, before_id, before_mark, wanted): whom each text stands next to.
+    """(k1, k2, id, n, before_k1, before_k2, wanted): whom each text stands next to.
 
     The row before is the one this row's text is the next of, ``wanted`` how much of it that
     one takes; ``n`` counts equal rows. The first row stands next to the last.
     """
-    rows = _distinct(docs, doc_id, text)
-    keys = rows.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("chars"))
+    keys = _keyed(docs, doc_id, text).groupBy("k1", "k2").agg(
+        F.max("id").alias("id"), F.count(F.lit(1)).alias("n"), F.max(F.length("text")).alias("chars")
+    )
     keys = cut_lineage(keys, "texts")
-    by = [F.col("id").desc_nulls_last(), F.col("mark").asc()]
+    by = [F.col("id").desc_nulls_last(), F.col("k2").asc(), F.col("k1").asc()]
     placed = cut_lineage(ranked(keys, [], by), "ranked")
     before = placed.select(
         F.pmod(F.col("rank") + 1, F.col("size")).alias("rank"),
-        F.col("id").alias("before_id"),
-        F.col("mark").alias("before_mark"),
+        F.col("k1").alias("before_k1"),
+        F.col("k2").alias("before_k2"),
         F.floor(F.col("chars") / 2).cast("int").alias("wanted"),
     )
-    return cut_lineage(placed.select("rank", "id", "mark", "n").join(before, "rank").drop("rank"), "neighbours")
+    return cut_lineage(placed.select("rank", "k1", "k2", "id", "n").join(before, "rank").drop("rank"), "neighbours")
 
 
 def edited_pairs(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,21 +215,16 @@ def edited_pairs(docs: DataFrame, places: DataFrame, doc_id: str = "doc_id", tex
 
     A text moves once, with its fingerprint, and the part that the one before takes moves on.
     """
-    rows = _distinct(docs, doc_id, text)
-    texts = rows.withColumn("prints", fingerprint(F.col("text"))).groupBy("id", "mark").agg(
-        F.any_value("text").alias("text"), F.any_value("prints").alias("prints")
-    )
-    same = F.col("id").eqNullSafe(F.col("place_id")) & (F.col("mark") == F.col("place_mark"))
-    placed = texts.join(places.withColumnsRenamed({"id": "place_id", "mark": "place_mark"}), same)
-    given = placed.select(
-        F.col("before_id").alias("to_id"),
-        F.col("before_mark").alias("to_mark"),
+    rows = _keyed(docs, doc_id, text).withColumn("prints", fingerprint(F.col("text")))
+    texts = rows.groupBy("k1", "k2").agg(*(F.any_value(c).alias(c) for c in ("text", "prints")))
+    # Both uses of ``texts`` need the same columns, so Spark shuffles them once.
+    given = texts.join(places, ["k1", "k2"]).select(
+        F.col("before_k1").alias("k1"),
+        F.col("before_k2").alias("k2"),
         F.substring("text", F.lit(1), F.col("wanted")).alias("other"),
         F.col("prints").alias("other_prints"),
     )
-    counts = places.select(F.col("id").alias("to_id"), F.col("mark").alias("to_mark"), "n")
-    to = [F.col("to_id").eqNullSafe(F.col("id")), F.col("to_mark") == F.col("mark")]
-    met = texts.join(given, to[0] & to[1]).drop("to_id", "to_mark").join(counts, to[0] & to[1])
+    met = texts.join(given, ["k1", "k2"]).join(places.select("k1", "k2", "id", "n"), ["k1", "k2"])
     half = F.floor(F.length("text") / 2).cast("int")
     own = F.struct(F.substring("text", F.lit(1), half).alias("other"), F.col("prints").alias("other_prints"), (F.col("n") - 1).alias("copies"))
     nearby = F.struct("other", "other_prints", F.lit(1).cast("long").alias("copies"))
