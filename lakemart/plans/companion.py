@@ -118,6 +118,10 @@ class Companion:
 
     def read(self) -> DataFrame:
         """What the last refresh has left."""
-        written = StructType.fromJson(self.store._read_json(f"{self.store.root}/{self._list}-schema-{self.version}.json"))
+        kind = self.store._read_json(f"{self.store.root}/{self._list}-schema-{self.version}.json")
+        if kind is None:
+            # A table that never had a file.
+            return self.build(self.rows_of([]))
+        written = StructType.fromJson(kind)
         rows = self.store.spark.read.schema(written.add(_PART, "string")).parquet(self._data)
         return rows.where(F.col(_PART).isin(sorted(self.known().values()))).drop(_PART)

@@ -139,6 +139,17 @@ def test_prints_find_changed_moved_and_lost_rows(spark):
     assert bag(differing_partitions(*by, ["p"])) == sorted([("b",), (None,), ("c",), ("d",)], key=repr)
 
 
+def test_tables_without_rows(spark, store):
+    none = spark.createDataFrame([], SCHEMA)
+    store.overwrite(none, "t", ["part"])
+    assert newest(store, "t", "n") is None and heavy_keys(store, "t", "id") == []
+    assert {r["n"] for r in check_table(store, "t", CHECKS).collect()} == {0}
+    assert reference_counts(store, "t", "id").count() == 0
+    assert folders_with(store, "t", spark.createDataFrame([("a", "p", 1)], SCHEMA), ["id"]) == []
+    save_keyed(spark.createDataFrame([("a", "p", 1)], SCHEMA), store, "t", ["id"], partition_by=["part"])
+    assert newest(store, "t", "n") == 1 and bag(reference_counts(store, "t", "id")) == [("a", 1)]
+
+
 def test_hot_keys_from_sketches(spark, store):
     rows = spark.range(6000).selectExpr("IF(id % 3 = 0, 'hot', IF(id % 3 = 1, NULL, CAST(id AS STRING))) AS k", "id % 4 AS p")
     store.overwrite(rows, "t", ["p"])
