@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakemart.functions.paths import normalise_path, path_name
 from lakemart.operators.contract import ContractViolation
@@ -178,7 +178,14 @@ def audit_rows(t):
     return store.read(AUDIT_TABLE).select(*columns)
 
 
-_EVENT = StructType.fromDDL("event_id long, user_id long, value double, event_type string")
+_EVENT = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("user_id", LongType()),
+        StructField("value", DoubleType()),
+        StructField("event_type", StringType()),
+    ]
+)
 
 
 @query("json_lines", "SELECT event_id, user_id, value, event_type FROM events")
