@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lakemart.operators.dimension import changed_ids, incremental_slice, latest_event
+from lakemart.operators.dimension import build_fact, changed_ids, incremental_slice, latest_event
 from lakemart.operators.quality import (
     Check,
     DataQualityError,
@@ -15,7 +15,7 @@ from lakemart.operators.quality import (
     run_checks,
     summary_text,
 )
-from lakemart.plans.mart import MartSpec, may_increment, refresh_mart
+from lakemart.plans.mart import MartSpec, QuoteSource, may_increment, refresh_mart
 from lakemart.plans.runlog import AUDIT_TABLE, audit_run
 from lakemart.plans.store import TableStore
 
@@ -177,3 +177,78 @@ def test_audit_outcomes(store):
 def test_summary():
     assert summary_text({}) == "sem checagens"
     assert summary_text({"a": 1, "b": 2}) == "a=1, b=2"
+
+
+def _quotes_mart():
+    spec = MartSpec(
+        "dim", "fact", "id", "day", "y", "day", ("y",),
+        lambda quotes, dim, hot: build_fact(quotes, dim, "id", hot),
+        quote_columns=("id", "day", "price"),
+        quote_partitions=("y",),
+    )
+    start = dt.datetime(2020, 1, 1)
+    rows = [(f"m{i % 5}", start + dt.timedelta(days=40 * i), float(i)) for i in range(60)]
+    return spec, [(m, day, price, day.year) for m, day, price in rows]
+
+
+def test_late_and_withdrawn_quotes_reach_the_fact(spark, store, monkeypatch):
+    """Only partitions whose quotes differ are made anew, and the fact equals a rebuild."""
+    spec, rows = _quotes_mart()
+    schema = "id string, day timestamp, price double, y int"
+    dim = spark.createDataFrame([(f"m{i}", f"name {i}") for i in range(5)], "id string, name string")
+    anew = []
+    real = TableStore.replace_partitions
+
+    def seen(self, df, table, by, touched):
+        anew.extend(sorted(r["y"] for r in df.select("y").distinct().collect()) if table == "fact" else [])
+        return real(self, df, table, by, touched)
+
+    monkeypatch.setattr(TableStore, "replace_partitions", seen)
+
+    def run(quotes, members=dim):
+        store.overwrite(spark.createDataFrame(quotes, schema), "quotes", ["y"])
+        # Folders of equal rows get new file names too, so only prints tell what differs.
+        del anew[:]
+        done = refresh_mart(store, spec, members, store.read("quotes"), source=QuoteSource(store, "quotes"))
+        want = build_fact(spark.createDataFrame(quotes, schema), members, "id", [])
+        columns = sorted(want.columns)
+        fact = store.read("fact").select(columns)
+        assert sorted(map(tuple, fact.collect())) == sorted(map(tuple, want.select(columns).collect()))
+        return done
+
+    late = [row for row in rows if row[3] == 2021 and row[2] % 2 == 0]
+    assert run([row for row in rows if row not in late]) == 60 - len(late)
+    assert run(rows) == sum(row[3] == 2021 for row in rows) and anew == [2021]
+    assert run(rows) == 0 and anew == []
+    # One quote goes, one changes its price: no time tells of either.
+    fewer = [row for row in rows if row[2] != 7.0]
+    changed = [(m, day, -1.0 if price == 30.0 else price, y) for m, day, price, y in fewer]
+    run(changed)
+    years = {row[3] for row in rows if row[2] in (7.0, 30.0)}
+    assert set(anew) == years
+    # A changed member reaches its quotes in the other partitions.
+    renamed = spark.createDataFrame([(f"m{i}", "new" if i == 3 else f"name {i}") for i in range(5)], "id string, name string")
+    assert run(changed, renamed) == sum(row[0] == "m3" for row in changed)
+
+
+def test_a_run_that_fails_makes_the_same_partitions_again(spark, store, monkeypatch):
+    spec, rows = _quotes_mart()
+    schema = "id string, day timestamp, price double, y int"
+    dim = spark.createDataFrame([(f"m{i}", f"name {i}") for i in range(5)], "id string, name string")
+    source = QuoteSource(store, "quotes")
+    store.overwrite(spark.createDataFrame(rows[:40], schema), "quotes", ["y"])
+    refresh_mart(store, spec, dim, store.read("quotes"), source=source)
+    store.overwrite(spark.createDataFrame(rows, schema), "quotes", ["y"])
+    real = TableStore.overwrite
+
+    def broken(self, df, table, *args, **kwargs):
+        if table.endswith("__made_from"):
+            raise OSError("gone")
+        return real(self, df, table, *args, **kwargs)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(TableStore, "overwrite", broken)
+        with pytest.raises(OSError):
+            refresh_mart(store, spec, dim, store.read("quotes"), source=source)
+    assert refresh_mart(store, spec, dim, store.read("quotes"), source=source) > 0
+    assert store.read("fact").count() == 60
