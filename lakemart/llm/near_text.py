@@ -239,11 +239,22 @@ def _share(parts: str, salt: int) -> Column:
     return F.pmod(F.xxhash64("node", F.lit(salt)), F.col(parts).cast("long"))
 
 
-def _labels(links: list[DataFrame]) -> DataFrame:
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionAll(more)
-    return smallest_reachable(edges, "a", "b", "node", "root")
+def _labels(links: DataFrame) -> DataFrame:
+    return smallest_reachable(links, "a", "b", "node", "root")
+
+
+def _joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links; only those that join what is still apart are followed."""
+    ends = links
+    for side in ("a", "b"):
+        ends = ends.join(labels.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+        ends = ends.withColumn(side, F.coalesce(f"{side}_root", side)).drop(f"{side}_root")
+    ends = cut_lineage(ends.where("a <> b").distinct(), "links")
+    if ends.isEmpty():
+        return labels
+    more = _labels(ends)
+    moved = labels.join(more.select(F.col("node").alias("root"), F.col("root").alias("moved")), "root", "left")
+    return cut_lineage(moved.select("node", F.coalesce("moved", "root").alias("root")).unionAll(more), "labels")
 
 
 def _unlinked_meetings(large: DataFrame, labels: DataFrame) -> DataFrame:
@@ -279,14 +290,13 @@ def candidate_clusters(nodes: DataFrame) -> DataFrame:
     )
     large = cut_lineage(large, "large")
     if large.isEmpty():
-        return _labels([_linked(entries.withColumn("part", F.lit(0).cast("long")), _tree_links)])
+        return _labels(_linked(entries.withColumn("part", F.lit(0).cast("long")), _tree_links))
     sized = entries.join(large, F.col("grp") == F.col("large_grp"), "left").drop("large_grp")
     sized = sized.withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
     # The salt is the shard's own, so two members that one table parts may meet in another.
     part = F.pmod(F.xxhash64("node", "grp"), F.col("parts"))
-    links = _linked(sized.withColumn("part", part).drop("parts"), _tree_links)
-    rest = _unlinked_meetings(sized.where("parts > 1"), _labels([links]))
-    return _labels([links, _linked(rest, _tree_links)])
+    labels = _labels(_linked(sized.withColumn("part", part).drop("parts"), _tree_links))
+    return _joined_labels(labels, _linked(_unlinked_meetings(sized.where("parts > 1"), labels), _tree_links))
 
 
 def _verified(clusters: DataFrame, sets: DataFrame) -> DataFrame:
@@ -300,12 +310,12 @@ def _verified(clusters: DataFrame, sets: DataFrame) -> DataFrame:
     def linked(rows: DataFrame) -> DataFrame:
         return _linked(rows.join(sets, "node").select("grp", "part", "node", "members"), _set_links)
 
-    links = [linked(placed.withColumn("part", _share("parts", 1)))]
+    labels = _labels(linked(placed.withColumn("part", _share("parts", 1))))
     large = placed.where("parts > 1")
-    if not large.isEmpty():
-        links.append(linked(large.withColumn("part", _share("parts", 5))))
-        links.append(linked(_unlinked_meetings(large, _labels(links))))
-    return _labels(links)
+    if large.isEmpty():
+        return labels
+    labels = _joined_labels(labels, linked(large.withColumn("part", _share("parts", 5))))
+    return _joined_labels(labels, linked(_unlinked_meetings(large, labels)))
 
 
 def _row_identity(docs: DataFrame, text: str) -> list[Column]:
@@ -320,8 +330,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     each other; of equal rows one stays. Columns may have any name and type. An empty table
     gives no rows.
 
-    Only rows that go, or that repeat, are looked up again, so texts that are kept don't move
-    while those fit a broadcast.
+    Texts move twice: those of nodes in clusters are fetched for their sets, and rows that go, or
+    that repeat, are looked up.
     """
     text_batches(docs.sparkSession)
     same_text, same_row = _row_identity(docs, text)
@@ -343,6 +353,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     def of(keys: DataFrame, how: str) -> DataFrame:
         side = keys.select(F.col("key.th").alias(unused(marked, "kt")), F.col("key.rh").alias(unused(marked, "kr"))).distinct()
+        # The same plan at every size: texts move to their keys, and aren't sorted for it.
+        side = cut_lineage(side, "keys").hint("shuffle_hash")
         return marked.join(side, (named(th) == side[0]) & (named(rh) == side[1]), how)
 
     first = nodes.join(clusters, "node", "left_semi")
