@@ -330,8 +330,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     each other; of equal rows one stays. Columns may have any name and type. An empty table
     gives no rows.
 
-    Texts move twice: those of nodes in clusters are fetched for their sets, and rows that go, or
-    that repeat, are looked up.
+    Only rows that go, or that repeat, are looked up again, so texts that are kept don't move
+    while those fit a broadcast.
     """
     text_batches(docs.sparkSession)
     same_text, same_row = _row_identity(docs, text)
@@ -353,8 +353,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     def of(keys: DataFrame, how: str) -> DataFrame:
         side = keys.select(F.col("key.th").alias(unused(marked, "kt")), F.col("key.rh").alias(unused(marked, "kr"))).distinct()
-        # The same plan at every size: texts move to their keys, and aren't sorted for it.
-        side = cut_lineage(side, "keys").hint("shuffle_hash")
+        # A table of its own, so its size is known before the texts are shuffled for it.
+        side = cut_lineage(side, "keys")
         return marked.join(side, (named(th) == side[0]) & (named(rh) == side[1]), how)
 
     first = nodes.join(clusters, "node", "left_semi")
