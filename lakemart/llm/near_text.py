@@ -33,7 +33,7 @@ from lakemart.llm.bk_forest import Forest, spanning_links
 from lakemart.llm.columns import hashable, named, unused
 from lakemart.llm.components import smallest_reachable
 from lakemart.llm.text_segments import release, text_batches
-from lakemart.plans.lineage import cut_lineage
+from lakemart.plans.lineage import cut_lineage, new_path
 
 #: Words of a shingle, and the least similarity of near copies as a fraction.
 SHINGLE = 5
@@ -322,55 +322,81 @@ def _row_identity(docs: DataFrame, text: str) -> list[Column]:
     return [F.xxhash64(named(text)), F.xxhash64(F.lit(3), *hashable(docs))]
 
 
+#: What is known of a row before sets are compared.
+ALONE, DOUBTFUL, COMPARED_TEXT = 0, 1, 2
+
+
+def _doubtful(found: DataFrame, nodes: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(key, node, state) of the rows that may go: those of nodes with several rows or in clusters.
+
+    The first row of each node in a cluster is the one whose text is compared.
+    """
+    named_nodes = nodes.join(clusters.select("node", F.lit(True).alias("near")), "node", "left")
+    named_nodes = named_nodes.where("near or copies > 1").select("node", "near", F.col("key").alias("first"))
+    state = F.when(F.col("near") & (F.col("key") == F.col("first")), COMPARED_TEXT).otherwise(DOUBTFUL)
+    return found.join(named_nodes, "node").select("key", "node", state.alias("state"))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies, one row of each component of them.
 
     The row with the smallest id stays, rows without an id come last; of rows of one id,
     that with the smallest hash of its text. Texts without words (NULL, empty) are copies of
-    each other; of equal rows one stays. Columns may have any name and type. An empty table
-    gives no rows.
+    each other; of equal rows one stays. Columns may have any name, and any type that Parquet
+    holds. An empty table gives no rows.
 
-    Only rows that go, or that repeat, are looked up again, so texts that are kept don't move
-    while those fit a broadcast.
+    Texts move once: rows are parted into those that stay for certain and those in doubt, and
+    only the latter are looked at again.
     """
-    text_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    text_batches(spark)
     same_text, same_row = _row_identity(docs, text)
     key = F.struct(named(doc_id).isNull().alias("nameless"), named(doc_id).alias("id"), same_text.alias("th"), same_row.alias("rh"))
     found = docs.select(key.alias("key"), _nodes(named(text), print_of).alias("found"))
     found = cut_lineage(
         found.select("key", F.col("found.node").alias("node"), F.col("found.found").alias("print")), "prints"
     )
+    # Equal sets have equal prints.
+    one_print = F.first("print").alias("print")
     nodes = cut_lineage(
-        # Equal sets have equal prints.
-        found.groupBy("node").agg(F.min("key").alias("key"), F.first("print").alias("print")), "nodes"
+        found.groupBy("node").agg(F.min("key").alias("key"), one_print, F.count(F.lit(1)).alias("copies")), "nodes"
     )
     rooted = candidate_clusters(nodes)
     clusters = rooted.select("node", F.col("root").alias("grp"))
     clusters = cut_lineage(clusters.unionAll(clusters.select(F.col("grp").alias("node"), "grp").distinct()), "clusters")
 
-    th, rh = unused(docs, "th"), unused(docs, "rh")
+    th, rh, state = (unused(docs, name) for name in ("th", "rh", "state"))
+    doubtful = cut_lineage(_doubtful(found, nodes, clusters), "doubtful")
+    keys = doubtful.groupBy(F.col("key.th").alias("kt"), F.col("key.rh").alias("kr")).agg(F.max("state").alias("state"))
+    keys = cut_lineage(keys, "keys")
+    # These keys grow with the corpus, so they are no side to broadcast; texts need no sorting.
+    keys = keys.toDF(*(unused(docs, f"key_{name}") for name in keys.columns)).hint("shuffle_hash")
     marked = docs.withColumns({th: same_text, rh: same_row})
-
-    def of(keys: DataFrame, how: str) -> DataFrame:
-        side = keys.select(F.col("key.th").alias(unused(marked, "kt")), F.col("key.rh").alias(unused(marked, "kr"))).distinct()
-        # A table of its own, so its size is known before the texts are shuffled for it.
-        side = cut_lineage(side, "keys")
-        return marked.join(side, (named(th) == side[0]) & (named(rh) == side[1]), how)
-
-    first = nodes.join(clusters, "node", "left_semi")
-    sets = of(first, "left_semi").select(_nodes(named(text), lambda members: members).alias("found"))
+    marked = marked.join(keys, (named(th) == keys[0]) & (named(rh) == keys[1]), "left")
+    marked = marked.withColumn(state, F.coalesce(keys[2], F.lit(ALONE)))
+    marked = marked.select(*map(named, [*docs.columns, th, rh, state]))
+    path = new_path(spark, "rows")
+    marked.write.partitionBy(state).parquet(path)
+    rows = spark.read.schema(marked.schema).parquet(path)
+
+    compared = rows.where(named(state) == COMPARED_TEXT)
+    sets = compared.select(_nodes(named(text), lambda members: members).alias("found"))
     sets = sets.select(F.col("found.node").alias("node"), F.col("found.found").alias("members")).dropDuplicates(["node"])
     labels = _verified(clusters, cut_lineage(sets, "sets"))
 
-    named_rows = found.select("key", "node").join(labels, "node", "left")
+    named_rows = doubtful.join(labels, "node", "left")
     named_rows = named_rows.select("key", F.coalesce("root", "node").alias("root"))
-    rows = cut_lineage(named_rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")), "rows")
-    kept = rows.groupBy("root").agg(F.min("key").alias("kept"))
-    judged = rows.join(kept, "root").select("key", "n", (F.col("key") == F.col("kept")).alias("stays"))
-    looked_up = cut_lineage(judged.where("not stays or n > 1"), "judged")
-    alone = of(looked_up, "left_anti")
-    twice = looked_up.where("stays")
-    if twice.isEmpty():
-        return alone.select(*map(named, docs.columns))
-    both = alone.unionByName(of(twice, "left_semi").dropDuplicates([th, rh]))
-    return both.select(*map(named, docs.columns))
+    counted = cut_lineage(named_rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")), "rows")
+    kept = counted.groupBy("root").agg(F.min("key").alias("kept"))
+    stays = counted.join(kept, "root").where(F.col("key") == F.col("kept"))
+    stays = stays.select(F.col("key.th").alias("kt"), F.col("key.rh").alias("kr"), "n")
+    stays = cut_lineage(stays.groupBy("kt", "kr").agg(F.max("n").alias("n")), "judged")
+
+    def that_stay(condition: str) -> DataFrame:
+        side = stays.where(condition).toDF(*(unused(rows, name) for name in stays.columns))
+        return rows.where(named(state) != ALONE).join(side, (named(th) == side[0]) & (named(rh) == side[1]), "left_semi")
+
+    result = rows.where(named(state) == ALONE).unionByName(that_stay("n = 1"))
+    if not stays.where("n > 1").isEmpty():
+        result = result.unionByName(that_stay("n > 1").dropDuplicates([th, rh]))
+    return result.select(*map(named, docs.columns))
