@@ -38,7 +38,9 @@ def parse_timestamp(c: Column) -> Column:
 
 
 def parse_float(c: Column) -> Column:
-    return c.try_cast("float")
+    """A text that does not parse costs an exception, so one that cannot be a number is not tried."""
+    possible = c.cast("string").rlike(r"(?i)\d|inf|nan|true|false")
+    return F.when(possible, c.try_cast("float"))
 
 
 def widen_float(c: Column) -> Column:
