@@ -72,7 +72,9 @@ def build_dim(driver: DataFrame, lookups: list[Lookup]) -> DataFrame:
 def build_fact(quotes: DataFrame, dim: DataFrame, key: str, hot: list | None = None) -> DataFrame:
     """Quotes of known members with the members' attributes.
 
-    ``hot`` lists members with very many quotes when known, else they are looked for.
+    ``hot`` lists members with very many quotes when known, else they are looked for, which computes the
+    quotes twice more: give it where they are not a table's own rows. An empty list leaves hot members to
+    adaptive execution, which splits them where both sides are shuffled for the join.
     """
     members = dim.withColumnRenamed(key, "_member")
     return spread_join(quotes, members, key, "_member", hot=hot).drop("_member")

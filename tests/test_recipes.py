@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.functions.values import parse_float
+from lakemart.operators import dimension, skew
 from lakemart.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -32,3 +33,18 @@ def test_prices_are_dealt_by_number_and_sorted_once(spark):
     text = plan(QUERIES["recipe_prices"](spark, FOLDER))
     assert text.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in text
     assert text.count("Sort [") == 1
+
+
+def test_fact_computes_its_quotes_once(spark, monkeypatch):
+    asked, real = [], skew.hot_keys
+
+    def seen(df, key, *args):
+        asked.append(key)
+        return real(df, key, *args)
+
+    monkeypatch.setattr(skew, "hot_keys", seen)
+    monkeypatch.setattr(dimension, "hot_keys", seen)
+    fact = QUERIES["recipe_fact"](spark, FOLDER)
+    assert "ID_CARTA" not in asked
+    # The quotes' own shuffle by card serves the join too.
+    assert plan(fact).count("REPARTITION_BY_NUM") == 2
