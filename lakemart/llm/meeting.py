@@ -25,13 +25,14 @@ _NAMES = ("id", "n", "vector", "code")
 
 
 class Rows:
-    """Columns of some rows as arrays."""
+    """Columns of some rows as arrays; ``ids``, of any length, stays a list."""
 
     def __init__(self, batch: pa.RecordBatch):
-        self.id = batch.column("id").to_numpy()
-        self.n = batch.column("n").to_numpy()
-        self.vector = _matrix(batch.column("vector")).astype(np.float64)
-        self.code = _matrix(batch.column("code"))
+        for name in set(batch.schema.names) - {"grp", "role", "ids"}:
+            column = batch.column(name)
+            setattr(self, name, _matrix(column) if pa.types.is_list(column.type) else column.to_numpy())
+        self.ids = batch.column("ids") if "ids" in batch.schema.names else None
+        self.vector = self.vector.astype(np.float64)
 
     def __len__(self) -> int:
         return len(self.id)
@@ -82,6 +83,26 @@ def meet(
     return rows.mapInArrow(worker, schema)
 
 
+def stream(
+    index: DataFrame,
+    queries: DataFrame,
+    names: tuple[str, ...],
+    tasks: int,
+    worker: Callable[[Iterator], Iterator[pa.RecordBatch]],
+    schema: str,
+) -> DataFrame:
+    """``worker`` over groups that were dealt before: both tables have ``grp``, a number below ``tasks``.
+
+    Each group is a task of its own.
+    """
+    sides = [
+        rows.select(F.col("grp").cast("int").alias("grp"), F.lit(role).alias("role"), *names)
+        for role, rows in enumerate((index, queries))
+    ]
+    rows = sides[0].unionAll(sides[1]).repartitionById(tasks, "grp")
+    return rows.sortWithinPartitions("grp", "role", "id").mapInArrow(worker, schema)
+
+
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, Rows | None, Rows | None]]:
     """(new, index rows, some queries) in the order of groups; at last (True, None, None)."""
     current, held, index, fresh = None, [], None, False
